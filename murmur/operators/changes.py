@@ -18,6 +18,7 @@ from murmur.constants import (
     REASON_UNKNOWN_OPERATION,
     REASON_UNPARSEABLE,
 )
+from murmur.functions.once import with_evaluated
 from murmur.schemas import PAYLOAD_COLUMNS, PAYLOAD_JSON, REQUIRED_COLUMNS, payload_type
 from murmur.settings import Settings
 
@@ -45,22 +46,20 @@ def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
     body = F.btrim("value", F.lit(_JSON_BLANKS))
     present = F.coalesce(F.col("value") != "", F.lit(False))
     envelope = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": _CORRUPT})
-    decoded = messages.select(
-        "topic",
-        "partition",
-        "offset",
-        "value",
-        F.when(present, envelope).alias("envelope"),
-        (present & ~(body.startswith("{") & body.endswith("}"))).alias("not_object"),
-    )
     if settings.drop_tombstones:
-        decoded = decoded.filter(F.col("value").isNotNull())
+        messages = messages.filter(F.col("value").isNotNull())
+    decoded = with_evaluated(
+        messages.select("topic", "partition", "offset", "value"),
+        "envelope",
+        F.when(present, envelope),
+    )
+    not_object = present & ~(body.startswith("{") & body.endswith("}"))
     source = F.col("envelope.source")
     source_is_odd = (
         source.isNotNull() & ~source.isin(*_EMPTY_SOURCE) & ~source.startswith("{")
     )
     broken = (
-        F.col("not_object")
+        not_object
         | F.col(f"envelope.{_CORRUPT}").isNotNull()
         | F.coalesce(source_is_odd, F.lit(False))
     )
@@ -88,7 +87,7 @@ def typed_payload(parsed: DataFrame) -> DataFrame:
     """Add the effective row image: the old one for deletes, else the new one."""
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     fields = F.from_json(image, PAYLOAD_JSON)
-    with_fields = parsed.withColumn("fields", fields)
+    with_fields = with_evaluated(parsed, "fields", fields)
 
     def typed(name: str) -> Column:
         column = F.col(f"fields.{name}")

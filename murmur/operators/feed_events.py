@@ -14,6 +14,7 @@ from murmur.constants import (
     REASON_MISSING_FIELD,
 )
 from murmur.functions import identity, text, times
+from murmur.functions.once import with_evaluated
 from murmur.schemas import ENTITY_COLUMNS, FEED_SCHEMA
 
 
@@ -24,7 +25,7 @@ def _lookup(mapping: dict[str, str], key: Column) -> Column:
 
 def decode_feed(feed: DataFrame) -> DataFrame:
     """One JSON parse per line; lines that are no JSON object become null rows."""
-    return feed.withColumn("event", F.from_json("value", FEED_SCHEMA))
+    return with_evaluated(feed, "event", F.from_json("value", FEED_SCHEMA))
 
 
 def scan_feed(feed: DataFrame) -> DataFrame:
@@ -104,7 +105,7 @@ def entity_events(parsed: DataFrame, salt: str, rate: float) -> DataFrame:
 
     The raw ids are gone from the output.
     """
-    hashed = parsed.withColumn("user_id_hash", identity.hash_user_id(F.col("did"), salt))
+    hashed = with_evaluated(parsed, "user_id_hash", identity.hash_user_id(F.col("did"), salt))
     return hashed.filter(identity.is_sampled(F.col("user_id_hash"), rate)).select(
         "seq",
         _lookup(ENTITY_BY_KIND, F.col("event_type")).alias("entity"),

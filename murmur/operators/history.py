@@ -84,11 +84,12 @@ def repair_history(history: DataFrame) -> DataFrame:
         .agg(F.first(F.struct(*columns)).alias("row"))
         .select("row.*", "scd_id")
     )
+    # Extremes ignore duplicates, so this side needs no de-duplicated input.
     crowded = (
-        unique.filter(F.col("valid_to").isNull())
+        history.filter(F.col("valid_to").isNull())
         .groupBy(KEY)
-        .agg(F.max("valid_from").alias("newest_from"), F.count(F.lit(1)).alias("open_rows"))
-        .filter(F.col("open_rows") > 1)
+        .agg(F.max("valid_from").alias("newest_from"), F.min("valid_from").alias("oldest_from"))
+        .filter(F.col("oldest_from") < F.col("newest_from"))
         .select(KEY, "newest_from")
     )
     superseded = F.col("valid_to").isNull() & (F.col("valid_from") < F.col("newest_from"))
