@@ -32,6 +32,12 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Small inputs arrive as fewer splits than there are cores; larger ones pass."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def _every(n: int) -> Column:
     return F.col("seq") % n == 0
 
@@ -56,7 +62,7 @@ def social_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     bot_time = F.lit(f"{DAY} 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         secs=F.col("event_id") % 600
     )
-    base = events.select(
+    base = spread(events).select(
         F.col("event_id").alias("seq"),
         F.col("ts").alias("arrived_at"),
         "user_id",
@@ -81,7 +87,7 @@ def social_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _posts(spark: SparkSession, sf_dir: str, social: DataFrame) -> DataFrame:
-    documents = given(spark, sf_dir, "documents")
+    documents = spread(given(spark, sf_dir, "documents"))
     count = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
     posts = social.filter(F.col("kind") == "post").withColumn("doc_id", F.col("seq") % count)
     empty = F.lit("")

@@ -634,7 +634,7 @@ def partition_counts(w: Workspace) -> DataFrame:
 @query
 def reconcile(w: Workspace) -> DataFrame:
     """The feed's current rows of the day against the raw layer's."""
-    current = keyed_state.current_entities(feed_events.writable_events(w.entity_events(1.0)))
+    current = keyed_state.current_entities(w.ingested_events())
     source = (
         current.filter(F.col("entity").isin(*ACTIVITY_ENTITIES))
         .filter(day_range(F.col("occurred_at"), DAY))
@@ -726,8 +726,8 @@ def serve_top_posts(w: Workspace) -> DataFrame:
 @query
 def layer_totals(w: Workspace) -> DataFrame:
     staged = w.staged()
-    current = keyed_state.current_entities(feed_events.writable_events(w.entity_events(1.0)))
-    seen = keyed_state.users_seen(w.entity_events(1.0))
+    current = keyed_state.current_entities(w.ingested_events())
+    seen = keyed_state.users_seen(w.ingested_events())
     return serving.layer_totals(
         {
             "source": [current, seen],

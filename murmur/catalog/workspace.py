@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.catalog import mapping
@@ -24,6 +24,9 @@ from murmur.session import shared_folder, use_utc
 from murmur.sources import streams
 from murmur.sources.tables import TableStore
 
+# So that a chunk of a small input still keeps several cores busy.
+_MIN_FILES = 4
+
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
 
 
@@ -59,7 +62,7 @@ class Workspace:
     def _file_share(self) -> int:
         """Files per landed chunk, in step with the splits of the input."""
         events = mapping.given(self.spark, self.sf_dir, "events")
-        return max(1, -(-events.rdd.getNumPartitions() // mapping.CHUNKS))
+        return max(_MIN_FILES, -(-events.rdd.getNumPartitions() // mapping.CHUNKS))
 
     def feed(self) -> DataFrame:
         self._once("feed", lambda: self.store.write("feed", mapping.feed_lines(self.spark, self.sf_dir)))
@@ -120,16 +123,40 @@ class Workspace:
         loaded = F.timestamp_millis("source_ts_ms").cast("timestamp_ntz")
         return keyed_state.change_log(self.valid(), loaded)
 
+    def logged_changes(self) -> DataFrame:
+        """The append-only change log: valid changes, typed, in arrival order."""
+
+        def build() -> None:
+            log = self.change_log().sortWithinPartitions("entity", "ingested_at")
+            self.store.write("change_log", log, ("entity",))
+
+        self._once("change_log", build)
+        return self.store.read("change_log").filter(F.col("entity") != "users")
+
+    def ingested_events(self) -> DataFrame:
+        """Pseudonymised feed events of all users."""
+
+        def build() -> None:
+            events = feed_events.writable_events(self.entity_events(1.0))
+            self.store.write("ingested_events", events, ("entity",))
+
+        self._once("ingested_events", build)
+        return self.store.read("ingested_events")
+
     # ----------------------------------------------------------- raw layer
 
-    def _seen(self, before: str | None = None) -> DataFrame:
-        events = self.entity_events(1.0)
-        if before is not None:
-            arrival = mapping.given(self.spark, self.sf_dir, "events").select(
-                F.col("event_id").alias("seq"), "ts"
-            )
-            known = arrival.filter(F.col("ts") < utc_literal(before)).select("seq")
-            events = events.join(known, "seq", "left_semi")
+    def _first_seq_after(self, run: str) -> Column:
+        """Arrival times rise with the sequence, so a time bound is a sequence bound."""
+        events = mapping.given(self.spark, self.sf_dir, "events")
+        later = events.filter(F.col("ts") >= utc_literal(run)).agg(F.min("event_id").alias("n"))
+        return F.coalesce(later.scalar(), F.lit(2**63 - 1))
+
+    def _seen(self, since: str | None = None, until: str | None = None) -> DataFrame:
+        events = self.ingested_events()
+        if since is not None:
+            events = events.filter(F.col("seq") >= self._first_seq_after(since))
+        if until is not None:
+            events = events.filter(F.col("seq") < self._first_seq_after(until))
         return keyed_state.users_seen(events)
 
     def _users_raw(self, seen: DataFrame) -> DataFrame:
@@ -145,9 +172,7 @@ class Workspace:
         )
 
     def _build_raw(self) -> None:
-        records = keyed_state.collapse_changes(
-            self.change_log().filter(F.col("entity") != "users")
-        )
+        records = keyed_state.collapse_changes(self.logged_changes())
         users = self._users_raw(self._seen())
         whole = records.unionByName(users, allowMissingColumns=True).select(*RAW_STATE.fieldNames())
         self.store.write("raw", self._state_layout(whole), ("entity",))
@@ -177,18 +202,21 @@ class Workspace:
         State and history are carried from run to run as written tables, and a
         run only reads the changes that arrived since the previous one.
         """
-        log = self.change_log().filter(F.col("entity") != "users")
+        log = self.logged_changes()
         since = None
         for run in mapping.RUNS:
             arrived = F.col("ingested_at") < utc_literal(run)
             if since is not None:
                 arrived = arrived & (F.col("ingested_at") >= utc_literal(since))
             fresh = log.filter(arrived)
+            seen = self._seen(since, run)
             if since is None:
                 state = keyed_state.collapse_changes(fresh)
             else:
                 state = keyed_state.apply_changes(self.store.read("history_state", RAW_STATE), fresh)
+                seen = keyed_state.merge_users_seen(self.store.read("history_seen"), seen)
             self.store.write("history_state", self._state_layout(state), ("entity",))
+            self.store.write("history_seen", seen)
             state = self.store.read("history_state", RAW_STATE)
             staged = {
                 entity: staging.staged(keyed_state.entity_state(state, entity), entity)
@@ -196,7 +224,10 @@ class Workspace:
                 if entity != "users"
             }
             staged["users"] = staging.staged(
-                keyed_state.users_as_raw(self._seen(run), F.col("last_seen_at")), "users"
+                keyed_state.users_as_raw(
+                    self.store.read("history_seen"), F.col("last_seen_at")
+                ),
+                "users",
             )
             current = intermediate.user_activity_summary(staged, self.settings)
             at = utc_literal(run)

@@ -20,7 +20,7 @@ def text_length(text: Column) -> Column:
 def hashtags(text: Column) -> Column:
     """Distinct tags, case kept, in code-point order; an empty array if none."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TAG_PATTERN), F.lit(1))
-    return F.array_sort(F.array_distinct(found))
+    return F.sort_array(F.array_distinct(found))
 
 
 def has_link(text: Column, embed_type: Column) -> Column:

@@ -23,12 +23,18 @@ from murmur.schemas import PAYLOAD_COLUMNS, PAYLOAD_JSON, REQUIRED_COLUMNS, payl
 from murmur.settings import Settings
 
 _CORRUPT = "_corrupt"
-# Every field is a string here, so only broken JSON or a non-object root can
-# fill the corrupt-record column. Nested objects arrive as their JSON text.
-_ENVELOPE = f"op string, before string, after string, source string, ts_ms string, {_CORRUPT} string"
+# Scalars are read as strings, so broken JSON, a root that is no object or a
+# nested block of the wrong shape are what fills the corrupt-record column.
+_ENVELOPE = (
+    T.StructType()
+    .add("op", "string")
+    .add("before", PAYLOAD_JSON)
+    .add("after", PAYLOAD_JSON)
+    .add("source", T.StructType().add("ts_ms", "string"))
+    .add("ts_ms", "string")
+    .add(_CORRUPT, "string")
+)
 _JSON_BLANKS = " \t\r\n"
-# Values the feed's producer treats as "no source block".
-_EMPTY_SOURCE = ("{}", "[]", "0", "false", "")
 
 
 def entity_of_topic(topic: Column, prefix: str) -> Column:
@@ -42,61 +48,55 @@ def _truthy(number: Column) -> Column:
 
 
 def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
-    """Unpack the envelope. Broken input sets parse_error, it never fails the job."""
-    body = F.btrim("value", F.lit(_JSON_BLANKS))
-    present = F.coalesce(F.col("value") != "", F.lit(False))
-    envelope = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": _CORRUPT})
+    """Unpack the envelope. Broken input sets parse_error, it never fails the job.
+
+    Row images come out typed in the same parse; a missing or empty value is an
+    empty envelope, not an error.
+    """
     if settings.drop_tombstones:
         messages = messages.filter(F.col("value").isNotNull())
+    present = F.coalesce(F.col("value") != "", F.lit(False))
+    envelope = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": _CORRUPT})
     decoded = with_evaluated(
         messages.select("topic", "partition", "offset", "value"),
         "envelope",
         F.when(present, envelope),
     )
-    not_object = present & ~(body.startswith("{") & body.endswith("}"))
-    source = F.col("envelope.source")
-    source_is_odd = (
-        source.isNotNull() & ~source.isin(*_EMPTY_SOURCE) & ~source.startswith("{")
-    )
-    broken = (
-        not_object
-        | F.col(f"envelope.{_CORRUPT}").isNotNull()
-        | F.coalesce(source_is_odd, F.lit(False))
-    )
-    intact = decoded.withColumn("broken", broken)
+    # The parser stops after the root object, so the tail is looked at here.
+    unclosed = present & ~F.rtrim("value", F.lit(_JSON_BLANKS)).endswith("}")
+    broken = unclosed | F.col(f"envelope.{_CORRUPT}").isNotNull()
 
-    def field(column: Column) -> Column:
-        return F.when(~F.col("broken"), column)
+    def field(name: str) -> Column:
+        return F.when(~F.col("broken"), F.col(f"envelope.{name}"))
 
-    source_ts = F.get_json_object(source, "$.ts_ms").try_cast("long")
-    return intact.select(
+    source_ts = field("source.ts_ms").try_cast("long")
+    return decoded.withColumn("broken", broken).select(
         "partition",
         "offset",
+        "value",
         entity_of_topic(F.col("topic"), settings.topic_prefix).alias("entity"),
-        field(F.col("envelope.op")).alias("op"),
-        field(F.col("envelope.before")).alias("before"),
-        field(F.col("envelope.after")).alias("after"),
-        field(
-            F.coalesce(_truthy(source_ts), F.col("envelope.ts_ms").try_cast("long"))
-        ).alias("source_ts_ms"),
+        field("op").alias("op"),
+        field("before").alias("before"),
+        field("after").alias("after"),
+        F.coalesce(_truthy(source_ts), field("ts_ms").try_cast("long")).alias("source_ts_ms"),
         F.when(F.col("broken"), F.lit("invalid JSON")).alias("parse_error"),
     )
 
 
 def typed_payload(parsed: DataFrame) -> DataFrame:
     """Add the effective row image: the old one for deletes, else the new one."""
+
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    fields = F.from_json(image, PAYLOAD_JSON)
-    with_fields = with_evaluated(parsed, "fields", fields)
+    with_image = with_evaluated(parsed, "image", image)
 
     def typed(name: str) -> Column:
-        column = F.col(f"fields.{name}")
+        column = F.col(f"image.{name}")
         kind = payload_type(name)
         if isinstance(kind, (T.StringType, T.ArrayType)):
             return column.alias(name)
         return column.try_cast(kind).alias(name)
 
-    return with_fields.select(*parsed.columns, *[typed(name) for name in PAYLOAD_COLUMNS])
+    return with_image.select(*parsed.columns, *[typed(name) for name in PAYLOAD_COLUMNS])
 
 
 def _printed(column: Column) -> Column:
@@ -148,20 +148,26 @@ def validate_changes(
 
 
 def valid_changes(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.col("reason").isNull()).drop("reason", "parse_error")
+    accepted = validated.filter(F.col("reason").isNull())
+    return accepted.drop("reason", "parse_error", "value", "before", "after")
 
 
 def quarantined_changes(validated: DataFrame) -> DataFrame:
-    """Rejected rows with the whole parsed message kept as JSON."""
+    """Rejected rows with the whole parsed message kept as JSON.
+
+    The images are cut from the message text, so fields no schema knows survive.
+    """
+    parsed = F.col("parse_error").isNull()
     payload = F.to_json(
         F.struct(
             F.col("entity").alias("table"),
             "op",
-            "before",
-            "after",
+            F.when(parsed, F.get_json_object("value", "$.before")).alias("before"),
+            F.when(parsed, F.get_json_object("value", "$.after")).alias("after"),
             "source_ts_ms",
             F.col("offset").alias("kafka_offset"),
             "parse_error",
+            F.when(~parsed, F.col("value")).alias("value"),
         )
     )
     return validated.filter(F.col("reason").isNotNull()).select(

@@ -77,8 +77,8 @@ def _with_fields(accepted: DataFrame) -> DataFrame:
     names_record = F.col("event_type").isin("like", "repost")
     names_account = F.col("event_type").isin("follow", "block")
     uri = F.when(names_record, F.get_json_object(record["subject"], "$.uri"))
-    target = text.split_record_uri(uri)
-    return accepted.select(
+    with_target = with_evaluated(accepted, "target", text.split_record_uri(uri))
+    return with_target.select(
         "seq",
         "event_type",
         "operation",
@@ -93,10 +93,10 @@ def _with_fields(accepted: DataFrame) -> DataFrame:
         F.when(
             is_post, F.coalesce(F.map_contains_key(record, F.lit("reply")), F.lit(False))
         ).alias("is_reply"),
-        F.when(names_record, target["did"])
+        F.when(names_record, F.col("target.did"))
         .when(names_account, record["subject"])
         .alias("target_did"),
-        target["record_key"].alias("target_record_key"),
+        F.col("target.record_key").alias("target_record_key"),
     )
 
 
