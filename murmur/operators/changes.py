@@ -62,8 +62,10 @@ def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
         "envelope",
         F.when(present, envelope),
     )
-    # The parser stops after the root object, so the tail is looked at here.
-    unclosed = present & ~F.rtrim("value", F.lit(_JSON_BLANKS)).endswith("}")
+    # The parser stops after the root object, so the tail is looked at here. The
+    # trim walks the whole text and only runs when the cheap test fails.
+    closed = F.col("value").endswith("}") | F.rtrim("value", F.lit(_JSON_BLANKS)).endswith("}")
+    unclosed = present & ~closed
     broken = unclosed | F.col(f"envelope.{_CORRUPT}").isNotNull()
 
     def field(name: str) -> Column:

@@ -143,24 +143,28 @@ def grew(before: DataFrame, after: DataFrame) -> DataFrame:
 class Check:
     """A named violation table and what to do when it is not empty.
 
-    ``column`` marks a null test: those of one table share a single scan.
+    ``rule`` marks the plain column tests, which a report runs together.
     """
 
     name: str
     violations: DataFrame
     severity: str = ERROR
+    rule: str | None = None
     table: DataFrame | None = None
     column: str | None = None
 
 
+_UNIQUE, _NOT_NULL = "unique", "not_null"
+
+
 def unique(name: str, table: DataFrame, column: str) -> Check:
-    return Check(f"unique_{name}_{column}", duplicates(table, column).select("value"))
+    found = duplicates(table, column).select("value")
+    return Check(f"unique_{name}_{column}", found, ERROR, _UNIQUE, table, column)
 
 
 def not_null(name: str, table: DataFrame, column: str) -> Check:
-    return Check(
-        f"not_null_{name}_{column}", nulls(table, column).select(column), ERROR, table, column
-    )
+    found = nulls(table, column).select(column)
+    return Check(f"not_null_{name}_{column}", found, ERROR, _NOT_NULL, table, column)
 
 
 def accepted(name: str, table: DataFrame, column: str, values: tuple[str, ...]) -> Check:
@@ -176,45 +180,79 @@ def relationship(
     return Check(f"relationships_{name}_{column}", missing.select("value"), WARN)
 
 
-def _null_counts(checks: list[Check]) -> DataFrame:
-    """All null tests of one table from one aggregate row."""
-    counted = checks[0].table.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(check.name).alias("check_name"),
-                    F.lit(check.severity).alias("severity"),
-                    F.count_if(F.col(check.column).isNull()).alias("violations"),
-                )
-                for check in checks
-            ]
-        ).alias("results")
+def _repeated_values(checks: list[Check]) -> DataFrame:
+    """All uniqueness tests in one aggregation keyed by (check, value)."""
+    tagged = [
+        check.table.select(
+            F.lit(check.name).alias("check_name"), F.col(check.column).cast("string").alias("value")
+        ).filter(F.col("value").isNotNull())
+        for check in checks
+    ]
+    return (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy("check_name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 1)
+        .select("check_name")
     )
-    return counted.select(F.explode("results").alias("result")).select("result.*")
 
 
-def _violation_count(check: Check) -> DataFrame:
-    return check.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"), "violations"
-    )
+def _null_rows(checks: list[Check]) -> DataFrame:
+    """One scan per table; a row comes out once for every column it leaves null."""
+    by_table: dict[int, list[Check]] = {}
+    for check in checks:
+        by_table.setdefault(id(check.table), []).append(check)
+    parts = []
+    for group in by_table.values():
+        failed = F.array_compact(
+            F.array(*[F.when(F.col(c.column).isNull(), F.lit(c.name)) for c in group])
+        )
+        any_null = reduce(lambda a, b: a | b, [F.col(c.column).isNull() for c in group])
+        parts.append(
+            group[0].table.filter(any_null).select(F.explode(failed).alias("check_name"))
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def report(checks: list[Check]) -> DataFrame:
-    """Violation counts of all checks in one job."""
-    null_tests: dict[int, list[Check]] = {}
-    parts = []
-    for check in checks:
-        if check.column is None:
-            parts.append(_violation_count(check))
-        else:
-            null_tests.setdefault(id(check.table), []).append(check)
-    parts += [_null_counts(group) for group in null_tests.values()]
+    """Violation counts of all checks in one job.
+
+    Every check contributes the name of each violation; counting names is one
+    aggregation for the whole suite, started from a zero per check.
+    """
+    severity = {check.name: check.severity for check in checks}
+    names = F.array(*[F.lit(name) for name in severity])
+    spark = checks[0].violations.sparkSession
+    parts = [
+        spark.range(1).select(F.explode(names).alias("check_name"), F.lit(0).alias("n")),
+    ]
+    unique_tests = [c for c in checks if c.rule == _UNIQUE]
+    null_tests = [c for c in checks if c.rule == _NOT_NULL]
+    if unique_tests:
+        parts.append(_repeated_values(unique_tests).withColumn("n", F.lit(1)))
+    if null_tests:
+        parts.append(_null_rows(null_tests).withColumn("n", F.lit(1)))
+    parts += [
+        c.violations.select(F.lit(c.name).alias("check_name"), F.lit(1).alias("n"))
+        for c in checks
+        if c.rule is None
+    ]
+    warn_only = [name for name, level in severity.items() if level == WARN]
+    is_warning = F.col("check_name").isin(*warn_only) if warn_only else F.lit(False)
+    counted = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("check_name")
+        .agg(F.sum("n").cast("long").alias("violations"))
+        .withColumn("severity", F.when(is_warning, WARN).otherwise(ERROR))
+    )
     status = (
         F.when(F.col("violations") == 0, "pass")
         .when(F.col("severity") == WARN, "warn")
         .otherwise("fail")
     )
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+    return counted.withColumn("status", status).select(
+        "check_name", "severity", "violations", "status"
+    )
 
 
 class QualityFailure(RuntimeError):
