@@ -8,16 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from murmur.llm.common import table
 from murmur.llm.decontam import benchmark_items, contaminations
+from murmur.llm.licenses import scan_licenses
 from murmur.llm.mixing import mixed_documents
 from murmur.llm.near_dup import near_duplicates
 from murmur.llm.quality import score_quality
 from murmur.llm.secrets import scan_secrets
+from murmur.llm.warc import archive_round_trip
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = benchmark_items(table(spark, sf_dir, "benchmark"))
     return contaminations(table(spark, sf_dir, "documents"), items)
@@ -37,7 +47,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_mixing": op2_mixing,
+        "op3_licenses": op3_licenses,
         "op7_decontamination": op7_decontamination,
         "op8_secrets": op8_secrets,
         "op9_near_duplicates": op9_near_duplicates,
