@@ -93,14 +93,8 @@ def permuted(value: Column, size: Column, key: Column, rounds: int) -> Column:
     # Each step leaves the range with probability below 3/4; 200 steps fail in 1 of 10**25.
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(200)),
-        F.struct(value.cast("long").alias("v"), F.lit(False).alias("done")),
-        lambda state, i: F.when(state["done"], state).otherwise(
-            F.struct(
-                once(state["v"]).alias("v"),
-                (once(state["v"]) < size).alias("done"),
-            )
-        ),
-        lambda state: state["v"],
+        once(value.cast("long")),
+        lambda at, i: F.when(at < size, at).otherwise(once(at)),
     )
 
 
@@ -127,16 +121,23 @@ def stream_pieces(sized: DataFrame, rules: MixRules) -> DataFrame:
     )
 
 
+def _slots(size: int, target: float, rules: MixRules) -> int:
+    """Slots that hold the target; the last block of a stream may be short in every epoch."""
+    if not size:
+        return 0
+    blocks = -(-size // rules.block_words)
+    short = blocks * rules.block_words - size
+    epochs, rest = divmod(int(target + 0.5), size)
+    return epochs * blocks + (min(blocks, -(-(rest + short) // rules.block_words)) if rest else 0)
+
+
 def draw_plan(sources: list[tuple], rules: MixRules) -> list[tuple]:
     """Rows (source_no, shard, first ordinal, slots) of the multinomial draws.
 
     ``sources`` has (source_no, size, target). The slots of a source cover its target: all
     its blocks in every full epoch, then as many as needed.
     """
-    slots = np.array(
-        [-(-int(round(target)) // rules.block_words) + 1 if target else 0 for _, _, target in sources],
-        np.int64,
-    )
+    slots = np.array([_slots(size, target, rules) for _, size, target in sources], np.int64)
     rng = np.random.default_rng(rules.seed)
     left, given, rows = slots.copy(), np.zeros_like(slots), []
     for shard in range(rules.shards):
@@ -192,7 +193,7 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> tuple[DataFrame, DataF
     blocks = F.ceil(F.col("source_size") / length).cast("long")
     slots = (
         drawn.join(F.broadcast(known), "source_no")
-        .repartition("source_no", "shard")
+        .repartition(rules.shards, "source_no", "shard")
         .select(
             "source_no",
             "shard",
@@ -204,10 +205,13 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> tuple[DataFrame, DataF
         .where((F.col("blocks") > 0))
     )
     key = F.struct("source_no", F.floor(F.col("ordinal") / F.col("blocks")).alias("epoch"), F.lit(rules.seed))
-    mapped = slots.select(
-        "*",
-        permuted(F.col("ordinal") % F.col("blocks"), F.col("blocks"), key, rules.rounds).alias("block"),
-        F.floor(F.col("ordinal") / F.col("blocks")).alias("epoch"),
+    mapped = stored(
+        slots.select(
+            "*",
+            permuted(F.col("ordinal") % F.col("blocks"), F.col("blocks"), key, rules.rounds).alias("block"),
+            F.floor(F.col("ordinal") / F.col("blocks")).alias("epoch"),
+        ),
+        "slots",
     )
     # words before a slot: full blocks, except for the short last block of the stream
     short = F.col("blocks") * length - F.col("source_size")
