@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from murmur.llm.class_lm import score_texts
 from murmur.llm.common import table
 from murmur.llm.decontam import benchmark_items, contaminations
 from murmur.llm.licenses import scan_licenses
@@ -13,6 +14,8 @@ from murmur.llm.mixing import mixed_documents
 from murmur.llm.near_dup import near_duplicates
 from murmur.llm.quality import score_quality
 from murmur.llm.secrets import scan_secrets
+from murmur.llm.substrings import remove_repeats
+from murmur.llm.toxicity import score_toxicity
 from murmur.llm.warc import archive_round_trip
 
 
@@ -28,6 +31,18 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = benchmark_items(table(spark, sf_dir, "benchmark"))
     return contaminations(table(spark, sf_dir, "documents"), items)
@@ -50,6 +65,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": op1_warc,
         "op2_mixing": op2_mixing,
         "op3_licenses": op3_licenses,
+        "op4_substrings": op4_substrings,
+        "op5_class_lm": op5_class_lm,
+        "op6_toxicity": op6_toxicity,
         "op7_decontamination": op7_decontamination,
         "op8_secrets": op8_secrets,
         "op9_near_duplicates": op9_near_duplicates,
