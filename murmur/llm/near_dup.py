@@ -6,10 +6,11 @@ the weight is capped, so the table that tasks need is bounded by the mean text l
 divided by that share, whatever the corpus size.
 
 Equal texts are one class from the start. Each class draws consistent weighted samples,
-which are banded. Within a bucket every class is compared with the least one; where that
-leaves a bucket in several components, all pairs between them that the total weights allow
-are compared. Links are weighted Jaccard similarities of at least ``threshold``; groups are
-connected components, named by their least doc_id.
+which are banded. Within a bucket every class is compared with the least one, then with one of
+the last component where that leaves the bucket in several. Classes of buckets still split
+are banded again, more finely, and compared within the fine buckets. Links are weighted
+Jaccard similarities of at least ``threshold``; groups are connected components, named by
+their least doc_id.
 
 Texts without words have no shingles and are grouped with equal texts only. Rows without
 doc_id share the group of rows with the same text; a text that only such rows carry has no
@@ -37,11 +38,13 @@ from murmur.llm.hashing import each_word_hashes, mixed, shingle_hashes, word_has
 class Sampling:
     shingle_words: int = 5
     threshold: float = 0.8
-    bands: int = 10
-    rows: int = 3
-    frequency_floor: float = 1 / 256
+    bands: int = 16
+    rows: int = 5
+    frequency_floor: float = 1 / 20
     block_shingles: int = 8_000_000
     leader_rounds: int = 2
+    fine_bands: int = 64
+    fine_rows: int = 11
 
     @property
     def draws(self) -> int:
@@ -280,6 +283,59 @@ def _verified(pairs: DataFrame, texts: DataFrame, rules: Sampling, shared) -> Da
     return stored(joined.mapInArrow(compare, "a long, b long, similarity double"), "compared")
 
 
+def _fine_pairs(nodes: DataFrame, texts: DataFrame, rules: Sampling, shared) -> DataFrame:
+    """Candidate pairs (x, y) among nodes of different parts, by longer bands.
+
+    Long bands tell 0.6 from 0.8, where short ones put thousands of classes in a bucket.
+    Each band is a fixed choice of the drawn samples. Within a bucket, all are compared
+    with its least and its greatest node.
+    """
+    width = rules.fine_rows
+    rng = np.random.default_rng(77)
+    picks = np.stack(
+        [rng.choice(rules.draws, width, replace=False) for _ in range(rules.fine_bands)]
+    )
+
+    def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salts = np.arange(1, rules.fine_bands + 1, dtype=np.uint64)
+        for batch in batches:
+            values = []
+            for words in each_word_hashes(byte_values(batch.column(2))):
+                drawn = samples(*weighted_set(words, rules, shared.value), rules)
+                total = salts
+                for column in range(width):
+                    total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + drawn[picks[:, column]])
+                values.append(total.view(np.int64))
+            nodes_of = np.repeat(batch.column(0).to_numpy(), rules.fine_bands)
+            parts_of = np.repeat(batch.column(1).to_numpy(), rules.fine_bands)
+            flat = np.concatenate(values) if values else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes_of), pa.array(parts_of), pa.array(flat)],
+                names=["node", "part", "value"],
+            )
+
+    fine = stored(
+        nodes.join(texts, "node")
+        .select("node", "part", "text")
+        .mapInArrow(band, "node long, part long, value long"),
+        "fine",
+    )
+    ends = (
+        fine.groupBy("value")
+        .agg(
+            F.min("node").alias("low"),
+            F.max("node").alias("high"),
+            F.min_by("part", "node").alias("low_part"),
+            F.max_by("part", "node").alias("high_part"),
+        )
+        .where("low != high")
+    )
+    met = fine.join(ends, "value")
+    low = met.where("part != low_part").select(F.col("node").alias("x"), F.col("low").alias("y"))
+    high = met.where("part != high_part").select(F.col("node").alias("x"), F.col("high").alias("y"))
+    return low.union(high)
+
+
 def find_groups(docs: DataFrame, rules: Sampling = Sampling()) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, digest, class_id; the links between classes)."""
     spark = docs.sparkSession
@@ -340,21 +396,8 @@ def find_groups(docs: DataFrame, rules: Sampling = Sampling()) -> tuple[DataFram
             found = open_buckets.where("part != last_part").join(last, ["band", "value"])
             more = found.select(F.col("node").alias("x"), F.col("leader").alias("y"))
         else:
-            other = open_buckets.select(
-                "band",
-                "value",
-                F.col("node").alias("other"),
-                F.col("weight").alias("other_weight"),
-                F.col("part").alias("other_part"),
-            )
-            allowed = (
-                (F.col("node") < F.col("other"))
-                & (F.col("part") != F.col("other_part"))
-                & (F.col("weight") >= rules.threshold * F.col("other_weight"))
-                & (F.col("other_weight") >= rules.threshold * F.col("weight"))
-            )
-            found = open_buckets.join(other, ["band", "value"]).where(allowed)
-            more = found.select(F.col("node").alias("x"), F.col("other").alias("y"))
+            unsettled = open_buckets.select("node", "part").distinct()
+            more = _fine_pairs(unsettled, texts, rules, shared)
         ordered = more.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         fresh = ordered.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
         compared = done.union(_verified(fresh, texts, rules, shared))
