@@ -147,12 +147,9 @@ def labelled_samples(docs: DataFrame, rules: SecretRules = SecretRules()) -> Dat
     Ordinary ones are the plain words of at most ``sample_documents`` documents, chosen by
     the hash of doc_id; random ones are base64 and hexadecimal digests of counters.
     """
-    chosen = (
-        docs.where("text is not null")
-        .select("doc_id", F.col("text"), F.xxhash64("doc_id").alias("order_key"))
-        .orderBy("order_key", "doc_id")
-        .limit(rules.sample_documents)
-    )
+    keys = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").alias("key"))
+    few = keys.distinct().orderBy(F.xxhash64("key"), "key").limit(rules.sample_documents)
+    chosen = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("key"))
     words = chosen.select(
         F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_-]{3,}"), F.lit(0))).alias("token")
     )
