@@ -171,7 +171,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rules: ToxicityRules) ->
         worded, "label_id long, words string, toxic int"
     )
     found = rows.dropDuplicates(["label_id"]).toPandas().sort_values("label_id")
-    return [(set(words.split(" ")), int(toxic > 0)) for words, toxic in zip(found["words"], found["toxic"])]
+    # One string per distinct word, however many documents have it.
+    one: dict[str, str] = {}
+    return [
+        ({one.setdefault(word, word) for word in words.split(" ")}, int(toxic > 0))
+        for words, toxic in zip(found["words"], found["toxic"])
+    ]
 
 
 def score_toxicity(
