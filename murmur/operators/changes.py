@@ -56,7 +56,7 @@ def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
     if settings.drop_tombstones:
         messages = messages.filter(F.col("value").isNotNull())
     present = F.coalesce(F.col("value") != "", F.lit(False))
-    envelope = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": _CORRUPT})
+    envelope = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"})
     decoded = with_evaluated(
         messages.select("topic", "partition", "offset", "value"),
         "envelope",

@@ -25,7 +25,7 @@ def _lookup(mapping: dict[str, str], key: Column) -> Column:
 
 def decode_feed(feed: DataFrame) -> DataFrame:
     """One JSON parse per line; lines that are no JSON object become null rows."""
-    return with_evaluated(feed, "event", F.from_json("value", FEED_SCHEMA))
+    return with_evaluated(feed, "event", F.from_json("value", FEED_SCHEMA, {"allowSingleQuotes": "false"}))
 
 
 def scan_feed(feed: DataFrame) -> DataFrame:

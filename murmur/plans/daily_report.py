@@ -179,7 +179,7 @@ def run_daily(
         store.overwrite_partitions(SUMMARY, marts.daily_summary(daily, day), "report_date")
         log.add(step, "success", verdict["row_count"], 1)
     except Exception as failure:
-        log.add(step, "failed", None, None, str(failure)[:500])
+        log.add(step, "failed", None, None, str(failure))
         raise
     finally:
         log.save(spark, store)
