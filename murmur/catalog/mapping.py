@@ -158,12 +158,29 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.concat(F.lit(',"record":'), record), F.lit("")),
         F.lit("}}"),
     )
-    return social.select("seq", F.when(_every(79), "not JSON").otherwise(line).alias("value"))
+    return social.select("seq", F.when(_every(79), _broken(line)).otherwise(line).alias("value"))
 
 
 # ---------------------------------------------------------------- CDC messages
 
 
+def _spelled(column: str) -> Column:
+    """Times as senders write them: in UTC, or with the offset of another zone."""
+    ahead = F.col(column) + F.make_dt_interval(hours=F.lit(2))
+    shifted = F.date_format(ahead, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'")
+    return F.when(_every(19), shifted).otherwise(_zulu(column))
+
+
+def _broken(value: Column) -> Column:
+    """Texts that are no single JSON object."""
+    return (
+        F.when(_every(5), F.translate(value, '"', "'"))
+        .when(_every(3), F.concat(value, F.lit(' {"op":"d"}')))
+        .when(_every(2), F.concat(value, F.lit(" trailing")))
+        .otherwise("not JSON")
+    )
+
+
 def _zulu(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
@@ -215,7 +232,7 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             F.col("owner").alias("user_id_hash"),
             key.alias("record_key"),
-            _zulu("occurred_at").alias("occurred_at"),
+            _spelled("occurred_at").alias("occurred_at"),
             F.when(is_post, text.first_language(F.col("langs"))).alias("language"),
             F.when(is_post, text.text_length(F.col("text"))).alias("text_length"),
             F.when(is_post, text.hashtags(F.col("text"))).alias("hashtags"),
@@ -254,7 +271,7 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("topic"),
         "partition",
         F.col("seq").alias("offset"),
-        F.when(F.col("damage") == "not_json", "not-json")
+        F.when(F.col("damage") == "not_json", _broken(value))
         .when(F.col("damage") == "tombstone", F.lit(None))
         .otherwise(value)
         .alias("value"),

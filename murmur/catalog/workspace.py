@@ -86,7 +86,8 @@ class Workspace:
                         (F.col("offset") >= chunk * size) & (F.col("offset") < (chunk + 1) * size)
                     )
                     .repartition(files)
-                    .write.mode("append")
+                    # A landing that broke off starts over.
+                    .write.mode("append" if chunk else "overwrite")
                     .parquet(folder)
                 )
             self._landed = True

@@ -18,23 +18,20 @@ from murmur.constants import (
     REASON_UNKNOWN_OPERATION,
     REASON_UNPARSEABLE,
 )
+from murmur.functions.documents import json_objects, only_object
 from murmur.functions.once import with_evaluated
 from murmur.schemas import PAYLOAD_COLUMNS, PAYLOAD_JSON, REQUIRED_COLUMNS, payload_type
 from murmur.settings import Settings
 
-_CORRUPT = "_corrupt"
-# Scalars are read as strings, so broken JSON, a root that is no object or a
-# nested block of the wrong shape are what fills the corrupt-record column.
+# Scalars are read as strings; a field or block of the wrong shape becomes null.
 _ENVELOPE = (
     T.StructType()
     .add("op", "string")
     .add("before", PAYLOAD_JSON)
     .add("after", PAYLOAD_JSON)
-    .add("source", T.StructType().add("ts_ms", "string"))
+    .add("source", "string")
     .add("ts_ms", "string")
-    .add(_CORRUPT, "string")
 )
-_JSON_BLANKS = " \t\r\n"
 
 
 def entity_of_topic(topic: Column, prefix: str) -> Column:
@@ -47,6 +44,11 @@ def _truthy(number: Column) -> Column:
     return F.nullif(number, F.lit(0).cast("long"))
 
 
+def _whole_number(text: Column) -> Column:
+    """JSON may spell a whole number as 1.7e12."""
+    return F.coalesce(text.try_cast("long"), text.try_cast("double").try_cast("long"))
+
+
 def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
     """Unpack the envelope. Broken input sets parse_error, it never fails the job.
 
@@ -56,22 +58,21 @@ def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
     if settings.drop_tombstones:
         messages = messages.filter(F.col("value").isNotNull())
     present = F.coalesce(F.col("value") != "", F.lit(False))
-    envelope = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"})
     decoded = with_evaluated(
         messages.select("topic", "partition", "offset", "value"),
-        "envelope",
-        F.when(present, envelope),
+        "roots",
+        F.when(present, json_objects("value", _ENVELOPE)),
     )
-    # The parser stops after the root object, so the tail is looked at here. The
-    # trim walks the whole text and only runs when the cheap test fails.
-    closed = F.col("value").endswith("}") | F.rtrim("value", F.lit(_JSON_BLANKS)).endswith("}")
-    unclosed = present & ~closed
-    broken = unclosed | F.col(f"envelope.{_CORRUPT}").isNotNull()
+    envelope = only_object("roots", "value")
+    decoded = decoded.withColumn("envelope", envelope)
+    source = F.col("envelope.source")
+    odd_source = F.coalesce(~source.startswith("{"), F.lit(False))
+    broken = present & (F.col("envelope").isNull() | odd_source)
 
     def field(name: str) -> Column:
         return F.when(~F.col("broken"), F.col(f"envelope.{name}"))
 
-    source_ts = field("source.ts_ms").try_cast("long")
+    source_ts = _whole_number(F.get_json_object(field("source"), "$.ts_ms"))
     return decoded.withColumn("broken", broken).select(
         "partition",
         "offset",
@@ -80,7 +81,7 @@ def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
         field("op").alias("op"),
         field("before").alias("before"),
         field("after").alias("after"),
-        F.coalesce(_truthy(source_ts), field("ts_ms").try_cast("long")).alias("source_ts_ms"),
+        F.coalesce(_truthy(source_ts), _whole_number(field("ts_ms"))).alias("source_ts_ms"),
         F.when(F.col("broken"), F.lit("invalid JSON")).alias("parse_error"),
     )
 
@@ -96,6 +97,9 @@ def typed_payload(parsed: DataFrame) -> DataFrame:
         kind = payload_type(name)
         if isinstance(kind, (T.StringType, T.ArrayType)):
             return column.alias(name)
+        if isinstance(kind, T.TimestampNTZType):
+            # An offset moves the time to UTC; texts without one are UTC already.
+            return column.try_cast("timestamp").cast(kind).alias(name)
         return column.try_cast(kind).alias(name)
 
     return with_image.select(*parsed.columns, *[typed(name) for name in PAYLOAD_COLUMNS])

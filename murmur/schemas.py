@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types in this file are fixed values: messages and tables carry them.
+
 FEED_SCHEMA = T.StructType(
     [
         T.StructField("did", T.StringType()),

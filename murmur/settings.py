@@ -20,7 +20,6 @@ class Settings:
     # streaming
     trigger_interval: str = "5 seconds"
     max_offsets_per_trigger: int = 50_000
-    watermark_delay: str = "2 hours"
 
     # models
     creator_min_posts: int = 5
@@ -33,3 +32,9 @@ class Settings:
     retention_days: int = 7
     freshness_minutes: int = 1
     catch_up_margin_seconds: int = 15
+
+    @property
+    def watermark_delay(self) -> str:
+        """No accepted change is late: the newest may be ahead, the oldest is ``max_age_ms``
+        behind, and buckets start up to a minute before their rows."""
+        return f"{(self.future_tolerance_ms + self.max_age_ms) // 1000 + 60} seconds"

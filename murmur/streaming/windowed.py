@@ -1,7 +1,7 @@
 """Native event-time aggregation with a watermark.
 
-Unlike the per-batch partials, rows later than the delay are dropped, and in
-return the state stays bounded. A streaming ``groupBy`` combines before its
+The delay covers every age that validation accepts, so no valid change is dropped
+and the state stays bounded by that age. A streaming ``groupBy`` combines before its
 shuffle; ``dropDuplicates`` would not, so membership is grouped as well.
 """
 
@@ -58,7 +58,8 @@ def language_counts(activity: DataFrame) -> DataFrame:
 
 
 def start_updates(
-    counts: DataFrame, store: TableStore, name: str, checkpoint: str, available_now: bool = False
+    counts: DataFrame, store: TableStore, name: str, checkpoint: str, available_now: bool = False,
+    trigger_interval: str = Settings.trigger_interval,
 ) -> StreamingQuery:
     """Update mode: a bucket touched by several batches is emitted by each of them."""
 
@@ -72,7 +73,7 @@ def start_updates(
     )
     if available_now:
         return writer.trigger(availableNow=True).start()
-    return writer.start()
+    return writer.trigger(processingTime=trigger_interval).start()
 
 
 def latest_values(store: TableStore, name: str, keys: list[str], value: str) -> DataFrame:

@@ -182,3 +182,25 @@ def test_additive_and_insert_missing(spark):
     kept = keyed_state.insert_missing(a, b.union(b).unionByName(
         spark.createDataFrame([("z", 9), ("z", 9)], "k string, n long")), ["k"]).collect()
     assert sorted((r.k, r.n) for r in kept) == [("x", 1), ("y", 2), ("z", 9)]
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["{'op':'c'}", '{"op":"c"} {"a":1}', '{"op":"c"},{"op":"d"}', '{"op":"c"}]', '{"op":"c"},'],
+)
+def test_near_misses_of_json_are_unparseable(spark, value):
+    [row] = parse(spark, raw(value)).collect()
+    assert (row.parse_error, row.op) == ("invalid JSON", None)
+
+
+def test_one_odd_field_is_null_and_the_rest_stays(spark):
+    value = '{"op":"c","after":{"user_id_hash":"u","hashtags":"x","text_length":3},"ts_ms":1.7e12}'
+    [row] = parse(spark, raw(value)).collect()
+    assert (row.parse_error, row.source_ts_ms) == (None, 1_700_000_000_000)
+    assert (row.after.user_id_hash, row.after.hashtags, row.after.text_length) == ("u", None, "3")
+
+
+def test_zone_offsets_move_times_to_utc(spark):
+    value = '{"op":"c","after":{"user_id_hash":"u","occurred_at":"2024-01-01T00:00:00+02:00"}}'
+    [row] = changes.typed_payload(parse(spark, raw(value))).collect()
+    assert str(row.occurred_at) == "2023-12-31 22:00:00"
