@@ -17,6 +17,7 @@ of each other. Null texts have no words.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import byte_values, stored
+from murmur.llm.common import byte_values, scratch
 from murmur.llm.hashing import each_word_hashes, shingle_hashes, word_hashes
 
 
@@ -129,8 +130,22 @@ def _recurring_phrases(docs: DataFrame, rules: PassageRules) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """The documents that share a phrase, with their phrases."""
-    return docs.select("doc_id", "text").join(phrases, "doc_id")
+    """The documents that share a phrase, with their phrases, written once.
+
+    The table is bucketed by doc_id as the join left it, so the later join with the
+    confirmed windows reads the texts in place.
+    """
+    spark = docs.sparkSession
+    name = f"candidates_{uuid.uuid4().hex}"
+    (
+        docs.select("doc_id", "text")
+        .join(phrases, "doc_id")
+        .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+        .option("path", scratch(spark, "candidates"))
+        .option("compression", "zstd")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
 def _confirmed(candidates: DataFrame, rules: PassageRules) -> DataFrame:
@@ -262,7 +277,7 @@ def without_repeats(docs: DataFrame, rules: PassageRules = PassageRules()) -> Da
     named = docs.select(F.col("doc_id").cast("long"), "text").where(
         "doc_id is not null and text is not null"
     )
-    candidates = stored(_candidates(named, _recurring_phrases(named, rules)), "candidates")
+    candidates = _candidates(named, _recurring_phrases(named, rules))
     confirmed = _confirmed(candidates, rules)
     found = candidates.select("doc_id", "text").join(confirmed, "doc_id")
     return _removed(found, rules).dropDuplicates(["doc_id", "text_hash"])
