@@ -128,6 +128,30 @@ def collapse_changes(changes: DataFrame) -> DataFrame:
     )
 
 
+def compact_changes(changes: DataFrame) -> DataFrame:
+    """The changes that still matter: per key its last write and its last change.
+
+    Rows keep their arrival order, so compacting a compacted log together with further
+    changes, old or new, gives what compacting everything at once would.
+    """
+    whole = F.struct(*changes.columns)
+    writes = F.when(F.col("op") != "d", F.col("seq"))
+    return (
+        changes.groupBy(*KEY_COLUMNS)
+        .agg(
+            F.max_by(F.when(F.col("op") != "d", whole), writes).alias("write"),
+            F.max_by(whole, "seq").alias("last"),
+        )
+        .select(
+            F.explode(
+                F.when(F.col("last.op") == "d", F.array_compact(F.array("write", "last")))
+                .otherwise(F.array("last"))
+            ).alias("change")
+        )
+        .select("change.*")
+    )
+
+
 def apply_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
     """Fold new changes into collapsed state; replaying a batch changes nothing."""
     return collapse_changes(_state_as_changes(state).unionByName(changes))

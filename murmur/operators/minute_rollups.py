@@ -115,6 +115,13 @@ def rollup_partials(activity: DataFrame) -> DataFrame:
     )
 
 
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several batches as one set of partials."""
+    return partials.groupBy("metric", "minute_ms", "key", "subkey").agg(
+        F.sum("n").cast("long").alias("n")
+    )
+
+
 def merged_rollup(partials: DataFrame, metric: str) -> DataFrame:
     """Partials of any number of batches back to one aggregate."""
     merged = (

@@ -41,6 +41,12 @@ class TableStore:
     def write(self, name: str, table: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
         """Full rewrite as a new version. Older versions stay readable."""
         version = max(self.versions(name), default=-1) + 1
+        return self.write_version(name, table, version, partition_by)
+
+    def write_version(
+        self, name: str, table: DataFrame, version: int, partition_by: tuple[str, ...] = ()
+    ) -> int:
+        """Full rewrite under a given number; a version that broke off is replaced."""
         writer = table.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -84,6 +90,13 @@ class TableStore:
         reader = self.spark.read
         return (reader.schema(schema) if schema else reader).parquet(self.location(name))
 
+    def drop_batches(self, name: str, through: int) -> None:
+        """Remove the directories of all batches up to and with ``through``."""
+        pattern, fs = self._path(f"{self.location(name)}/batch_id=*")
+        for status in fs.globStatus(pattern) or []:
+            if int(status.getPath().getName().split("=")[1]) <= through:
+                fs.delete(status.getPath(), True)
+
     def reset(self, name: str) -> bool:
         """Empty a versioned table but keep its schema; missing tables are skipped."""
         if not self.exists(name):

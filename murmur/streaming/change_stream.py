@@ -4,6 +4,11 @@ Every sink writes one directory per batch in overwrite mode, so replaying a
 batch after a failure replaces its own output and nothing is counted twice.
 No row passes through the driver; the statistics come from an observation on
 the batch that is being written anyway.
+
+Every ``fold_every`` batches, the change log is compacted to what the state needs and the
+partial counts are added up. The number of a folded version is its last batch: that is the
+commit pointer, and readers take the newest version and the batches behind it only. A batch
+that is replayed after it was folded is written again and not read.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from murmur.sources.tables import TableStore
 
 CHANGES, QUARANTINE = "changes", "quarantine"
 PARTIALS, BATCHES = "rollup_partials", "stream_batches"
+FOLDED = {CHANGES: "changes_folded", PARTIALS: "rollups_folded"}
+_PARTITIONS = {CHANGES: ("entity",), PARTIALS: ("metric",)}
 
 BATCH_STATS = T.StructType(
     [
@@ -65,7 +72,7 @@ def process_batch(
         valid = changes.valid_changes(validated)
         ingested_at = millis_to_utc(F.lit(now_ms).cast("long"))
         log = keyed_state.change_log(valid, ingested_at)
-        store.append_batch(CHANGES, log, batch_id, partition_by=("entity",))
+        store.append_batch(CHANGES, log, batch_id, partition_by=_PARTITIONS[CHANGES])
         store.append_batch(
             QUARANTINE,
             changes.quarantined_changes(validated).withColumn("quarantined_at", ingested_at),
@@ -73,7 +80,10 @@ def process_batch(
         )
         activity = minute_rollups.activity_changes(valid, now_ms)
         store.append_batch(
-            PARTIALS, minute_rollups.rollup_partials(activity), batch_id, partition_by=("metric",)
+            PARTIALS,
+            minute_rollups.rollup_partials(activity),
+            batch_id,
+            partition_by=_PARTITIONS[PARTIALS],
         )
     finally:
         validated.unpersist()
@@ -101,6 +111,8 @@ def start(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, store, settings, clock)
+        if (batch_id + 1) % settings.fold_every == 0:
+            fold(store, batch_id)
 
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
@@ -108,15 +120,42 @@ def start(
     return writer.trigger(processingTime=settings.trigger_interval).start()
 
 
+def _current(store: TableStore, name: str) -> DataFrame:
+    """The newest folded version and the batches behind it."""
+    versions = store.versions(FOLDED[name])
+    batches = store.read_batches(name)
+    if not versions:
+        return batches.drop("batch_id")
+    later = batches.filter(F.col("batch_id") > versions[-1]).drop("batch_id")
+    return store.read(FOLDED[name]).unionByName(later)
+
+
+def fold(store: TableStore, through: int) -> None:
+    """Fold all batches up to ``through``, the last finished one.
+
+    Batches stay until the next fold, for readers that opened the version before this one.
+    """
+    reduced = {
+        CHANGES: keyed_state.compact_changes(_current(store, CHANGES)),
+        PARTIALS: minute_rollups.merged_partials(_current(store, PARTIALS)),
+    }
+    for name, table in reduced.items():
+        earlier = [v for v in store.versions(FOLDED[name]) if v < through]
+        store.write_version(FOLDED[name], table, through, _PARTITIONS[name])
+        store.vacuum(FOLDED[name])
+        if earlier:
+            store.drop_batches(name, earlier[-1])
+
+
 def read_batches(store: TableStore) -> DataFrame:
     return store.read_batches(BATCHES)
 
 
 def read_rollup(store: TableStore, metric: str) -> DataFrame:
-    """Merge the partial counts of all batches."""
-    return minute_rollups.merged_rollup(store.read_batches(PARTIALS), metric)
+    """Folded counts and those of the batches behind them, added up."""
+    return minute_rollups.merged_rollup(_current(store, PARTIALS), metric)
 
 
 def read_state(store: TableStore) -> DataFrame:
-    """Current rows of every entity, collapsed from the whole change log."""
-    return keyed_state.collapse_changes(store.read_batches(CHANGES).drop("batch_id"))
+    """Current rows of every entity: the compacted log and the batches behind it, collapsed."""
+    return keyed_state.collapse_changes(_current(store, CHANGES))

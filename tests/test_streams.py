@@ -1,11 +1,13 @@
 """Batch and stream agree, replay changes nothing, late rows behave as documented."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from murmur.operators import changes, keyed_state, minute_rollups
+from murmur.schemas import KEY_COLUMNS, PAYLOAD_COLUMNS, RAW_STATE
 from murmur.settings import Settings
 from murmur.sources import streams
 from murmur.streaming import change_stream, feed_stream, windowed
@@ -44,9 +46,9 @@ def folder(spark, tmp_path):
     return path
 
 
-def drain(spark, folder, store):
+def drain(spark, folder, store, settings=SETTINGS):
     change_stream.start(
-        streams.file_changes(spark, folder, 1), store, SETTINGS, store.location("checkpoint"),
+        streams.file_changes(spark, folder, 1), store, settings, store.location("checkpoint"),
         clock=lambda: NOW, available_now=True,
     ).awaitTermination()
 
@@ -79,8 +81,9 @@ def test_rollups_of_the_batch(spark, folder):
     assert at == {0}, "a change without a time counts as now"
 
 
-def test_stream_equals_batch_and_replay_is_idempotent(spark, folder, store):
-    drain(spark, folder, store)
+@pytest.mark.parametrize("fold_every", [100, 2, 1])
+def test_stream_equals_batch_and_replay_is_idempotent(spark, folder, store, fold_every):
+    drain(spark, folder, store, replace(SETTINGS, fold_every=fold_every))
     activity = minute_rollups.activity_changes(valid(spark, folder), NOW)
     expected = {name: rows(table) for name, table in batch_rollups(activity).items()}
 
@@ -99,6 +102,44 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, folder, store):
     again = spark.createDataFrame(MESSAGES[3:6], COLUMNS)
     change_stream.process_batch(again, 1, store, SETTINGS, lambda: NOW)
     check()
+    change_stream.fold(store, 2)
+    check()
+
+
+def test_reads_leave_folded_batches_alone(spark, folder, store):
+    drain(spark, folder, store, replace(SETTINGS, fold_every=2))
+    for read in (change_stream.read_state(store), change_stream.read_rollup(store, minute_rollups.EVENTS)):
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "batch_id#" in plan and "> 1)" in plan
+    change_stream.fold(store, 2)
+    for name in change_stream.FOLDED:
+        left = {r.batch_id for r in store.read_batches(name).select("batch_id").distinct().collect()}
+        assert left == {2}, name
+
+
+def test_older_changes_do_not_regress_compacted_state(spark):
+    log = spark.createDataFrame(
+        [(1, "c", "a", "en"), (2, "u", "a", "de"), (3, "d", "a", None), (1, "d", "b", None),
+         (4, "c", "c", "fr"), (5, "u", "c", "pt")],
+        "offset int, op string, user_id_hash string, language string",
+    )
+    log = log.select(
+        F.lit("posts").alias("entity"), "user_id_hash", F.lit("r").alias("record_key"),
+        F.struct(F.lit(0).alias("partition"), F.col("offset").cast("long").alias("offset")).alias("seq"),
+        "op", F.lit(None).cast("timestamp_ntz").alias("ingested_at"), "language",
+        F.col("offset").cast("long").alias("kafka_offset"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_STATE.fields
+          if f.name in PAYLOAD_COLUMNS and f.name not in (*KEY_COLUMNS, "language")],
+    )
+    whole = rows(keyed_state.collapse_changes(log))
+    compact = keyed_state.compact_changes(log)
+    assert compact.count() == 4
+    older = log.filter("offset <= 2")
+    assert rows(keyed_state.collapse_changes(compact.unionByName(older))) == whole
+    again = keyed_state.compact_changes(compact.unionByName(older))
+    assert rows(keyed_state.collapse_changes(again)) == whole
+    halves = keyed_state.compact_changes(log.filter("offset > 2")).unionByName(older)
+    assert rows(keyed_state.collapse_changes(keyed_state.compact_changes(halves))) == whole
 
 
 def test_watermarked_counts_equal_batch_on_ordered_input(spark, folder, store):
