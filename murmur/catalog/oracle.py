@@ -189,23 +189,26 @@ SELECT uh AS user_id_hash, occurred_date AS activity_date, {_COUNTS},
 FROM live WHERE entity <> 'profile_updates' GROUP BY uh, occurred_date
 """)
 _cte("ml", ("live",), """
-SELECT uh, language FROM (
-  SELECT uh, language, row_number() OVER (PARTITION BY uh ORDER BY count(*) DESC, language) AS rn
-  FROM live WHERE entity = 'posts' AND language IS NOT NULL GROUP BY uh, language)
-WHERE rn = 1
-""")
-_SUMMARY = """
-SELECT u.uh AS user_id_hash, u.first_seen_at, u.last_seen_at,
-  coalesce(total_posts, 0) AS total_posts, coalesce(total_likes, 0) AS total_likes,
-  coalesce(total_reposts, 0) AS total_reposts, coalesce(total_follows, 0) AS total_follows,
-  coalesce(total_blocks, 0) AS total_blocks, ml.language AS main_language,
-  CASE WHEN coalesce(total_posts, 0) >= 5 THEN 'creator'
-       WHEN coalesce(total_likes, 0) + coalesce(total_reposts, 0)
-            + coalesce(total_follows, 0) >= 5 THEN 'engager'
-       ELSE 'lurker' END AS segment
-"""
-_cte("tot", ("live",), f"SELECT uh, {_TOTALS} FROM live GROUP BY uh")
-_cte("summary", ("u", "tot", "ml"), f"{_SUMMARY} FROM u LEFT JOIN tot USING (uh) LEFT JOIN ml USING (uh)")
+SELECT uh, mode(language ORDER BY language) AS language
+FROM live WHERE entity = 'posts' AND language IS NOT NULL GROUP BY uh
+""")
+
+def _summary(seen: str, live: str, run: str = "") -> str:
+    """Each sighting is a row of its own beside the user's rows; all is counted in one pass."""
+    posts = "count(*) FILTER (WHERE entity = 'posts')"
+    reached = "count(*) FILTER (WHERE entity IN ('likes', 'reposts', 'follows'))"
+    return f"""
+SELECT {run} uh AS user_id_hash, max(first_seen_at) FILTER (WHERE sighting) AS first_seen_at,
+  max(last_seen_at) FILTER (WHERE sighting) AS last_seen_at, {_TOTALS},
+  mode(language ORDER BY language) FILTER (WHERE entity = 'posts') AS main_language,
+  ['lurker', 'engager', 'creator'][
+    CASE {posts} // 5 WHEN 0 THEN 1 + least({reached} // 5, 1) ELSE 3 END] AS segment
+FROM (SELECT true AS sighting, {run} uh, first_seen_at, last_seen_at FROM {seen}
+      UNION ALL BY NAME SELECT false AS sighting, {run} uh, entity, language FROM {live})
+GROUP BY {run} uh HAVING bool_or(sighting)"""
+
+
+_cte("summary", ("u", "live"), _summary("u", "live"))
 _cte("inter", ("live",), """
 SELECT CASE entity WHEN 'likes' THEN 'like' WHEN 'reposts' THEN 'repost'
                    WHEN 'follows' THEN 'follow' ELSE 'block' END AS interaction_type,
@@ -214,15 +217,15 @@ SELECT CASE entity WHEN 'likes' THEN 'like' WHEN 'reposts' THEN 'repost'
 FROM live WHERE entity IN ('likes', 'reposts', 'follows', 'blocks')
 """)
 _cte("engage", ("live",), """
-SELECT p.id AS post_id, p.uh AS user_id_hash, p.rk AS record_key, p.occurred_at,
-  coalesce(l.n, 0) AS like_count, coalesce(r.n, 0) AS repost_count,
-  coalesce(l.n, 0) + coalesce(r.n, 0) AS engagement_count
-FROM live p
-LEFT JOIN (SELECT th, target_rkey, count(*) AS n FROM live WHERE entity = 'likes' GROUP BY 1, 2) l
-  ON l.th = p.uh AND l.target_rkey = p.rk
-LEFT JOIN (SELECT th, target_rkey, count(*) AS n FROM live WHERE entity = 'reposts' GROUP BY 1, 2) r
-  ON r.th = p.uh AND r.target_rkey = p.rk
-WHERE p.entity = 'posts'
+SELECT any_value(id) FILTER (WHERE entity = 'posts') AS post_id, author AS user_id_hash,
+  record AS record_key, max(occurred_at) FILTER (WHERE entity = 'posts') AS occurred_at,
+  count(*) FILTER (WHERE entity = 'likes') AS like_count,
+  count(*) FILTER (WHERE entity = 'reposts') AS repost_count,
+  count(*) - 1 AS engagement_count
+FROM (SELECT *, CASE entity WHEN 'posts' THEN uh ELSE th END AS author,
+             CASE entity WHEN 'posts' THEN rk ELSE target_rkey END AS record
+      FROM live WHERE entity IN ('posts', 'likes', 'reposts'))
+GROUP BY author, record HAVING bool_or(entity = 'posts')
 """)
 _cte("tags", ("live",), """
 SELECT lower(tag) AS hashtag, occurred_at
@@ -265,17 +268,7 @@ _cte("hu", ("fe", "runs"), """
 SELECT run, uh, arg_min(occurred_at, seq) AS first_seen_at, arg_max(occurred_at, seq) AS last_seen_at
 FROM fe, runs WHERE ts < run GROUP BY run, uh
 """)
-_cte("hml", ("hlive",), """
-SELECT run, uh, language FROM (
-  SELECT run, uh, language,
-    row_number() OVER (PARTITION BY run, uh ORDER BY count(*) DESC, language) AS rn
-  FROM hlive WHERE entity = 'posts' AND language IS NOT NULL GROUP BY run, uh, language)
-WHERE rn = 1
-""")
-_cte("htot", ("hlive",), f"SELECT run, uh, {_TOTALS} FROM hlive GROUP BY run, uh")
-_cte("hsum", ("hu", "htot", "hml"), f"""
-{_SUMMARY}, u.run FROM hu u LEFT JOIN htot USING (run, uh) LEFT JOIN hml ml USING (run, uh)
-""")
+_cte("hsum", ("hu", "hlive"), _summary("hu", "hlive", "run,"))
 _cte("hopen", ("hsum",), """
 SELECT * FROM (
   SELECT *, lag(segment) OVER w AS old_segment, lag(main_language) OVER w AS old_language,
