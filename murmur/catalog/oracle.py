@@ -379,12 +379,14 @@ SELECT seq, entity, operation, uh AS user_id_hash, rkey AS record_key, occurred_
   CASE WHEN NOT {_GONE} THEN target_rkey END AS target_record_key
 FROM fs
 """)
-_oracle("entity_current", ("cur",), """
+_CURRENT = """
 SELECT entity, uh AS user_id_hash, rk AS record_key, occurred_at, language, text_length,
   array_to_string(tags, ',') AS hashtags, has_link, has_media, is_reply,
   th AS target_user_id_hash, target_rkey AS target_record_key, operation
 FROM cur
-""")
+"""
+_oracle("entity_current", ("cur",), _CURRENT)
+_oracle("stream_feed_current", ("cur",), f"{_CURRENT} WHERE bucket < {RATE}")
 _oracle("users_seen stg_users", ("u",), "SELECT uh AS user_id_hash, first_seen_at, last_seen_at FROM u")
 _oracle("high_water", ("fs",), "SELECT max(time_us) AS last_time_us FROM fs")
 _oracle("cdc_apply cdc_apply_incremental", ("st",), f"SELECT {_STATE_COLUMNS}, ingested_at FROM st")
@@ -447,7 +449,7 @@ SELECT '{name}' AS table_name, count(*) FILTER (WHERE NOT ({column} {_OLD})) AS
   count(*) FILTER (WHERE {column} {_OLD}) AS deleted_rows FROM {table}"""
 
 
-_oracle("retention_counts", ("st", "act", "mt", "mlang"), " UNION ALL ".join(
+_oracle("retention_counts", ("st", "act", "mt", "mlang", "reasons", "batches"), " UNION ALL ".join(
     [_aged(f"raw.{e}", f"(SELECT * FROM st WHERE entity = '{e}')", "occurred_at")
      for e in ("posts", "likes", "reposts", "follows", "blocks", "profile_updates")]
     + [
@@ -457,6 +459,9 @@ _oracle("retention_counts", ("st", "act", "mt", "mlang"), " UNION ALL ".join(
               "(SELECT DISTINCT minute_bucket, uh FROM act)", "minute_bucket"),
         _aged("realtime.hashtag_counts_by_minute", "mt", "minute_bucket"),
         _aged("realtime.language_counts_by_minute", "mlang", "minute_bucket"),
+        _aged("dq.quarantine", "(SELECT * FROM reasons WHERE reason IS NOT NULL)",
+              f"TIMESTAMP '{AS_OF}'"),
+        _aged("dq.stream_batches", "batches", f"TIMESTAMP '{AS_OF}'"),
     ]))
 _oracle("retention_keep", ("st",), f"""
 SELECT uh AS user_id_hash, rk AS record_key, occurred_at, is_deleted
@@ -604,9 +609,10 @@ SELECT entity, source_rows, raw_rows, raw_rows - source_rows AS difference FROM
     (SELECT count(*) FROM st WHERE st.entity = x.entity AND {_IN_DAY}) AS raw_rows
   FROM {_LIST} x)
 """)
-_oracle("caught_up", ("st",), f"""
-SELECT coalesce(max(ingested_at) > TIMESTAMP '{DAY} 00:00:15', false) AS caught_up
-FROM st WHERE entity = 'posts'
+_oracle("caught_up", ("batches",), f"""
+SELECT snapshot_at, EXISTS (SELECT 1 FROM batches)
+  AND TIMESTAMP '{AS_OF}' > snapshot_at + INTERVAL {SETTINGS.catch_up_margin_seconds} SECOND AS caught_up
+FROM (VALUES (TIMESTAMP '{DAY} 00:00:00'), (TIMESTAMP '{AS_OF}')) t(snapshot_at)
 """)
 _oracle("layer_counts", ("st",), f"""
 SELECT n AS raw_rows, n AS stg_rows, n AS fct_rows, CAST(1 AS BIGINT) AS summary_rows,
@@ -693,14 +699,16 @@ SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn
 
 _oracle("dq_report", ("u", "live", "hist", "tags", "engage", "anom", "inter", "daily", "trend"),
         _check_rows())
-_oracle("run_log", ("st", "daily"), f"""
+_oracle("run_log", ("st", "daily", "cur"), f"""
 SELECT task, status, rows_read, rows_written FROM (
-  SELECT (SELECT count(*) FROM st WHERE {_IN_DAY}
+  SELECT (SELECT count(*) FROM cur WHERE {_IN_DAY}
+          AND entity IN ('posts', 'likes', 'reposts', 'follows', 'blocks')) AS s,
+         (SELECT count(*) FROM st WHERE {_IN_DAY}
           AND entity IN ('posts', 'likes', 'reposts', 'follows', 'blocks')) AS r,
          (SELECT count(*) FROM daily WHERE activity_date = DATE '{DAY}') AS d),
 LATERAL (VALUES
-  ('check_source_partition', CASE WHEN r > 0 THEN 'success' ELSE 'skipped' END, r, CAST(NULL AS BIGINT)),
-  ('load_raw_partition', 'success', r, r),
+  ('check_source_partition', CASE WHEN s > 0 THEN 'success' ELSE 'skipped' END, s, CAST(NULL AS BIGINT)),
+  ('load_raw_partition', 'success', s, r),
   ('run_models', 'success', NULL, NULL),
   ('run_checks', 'success', NULL, NULL),
   ('check_partition_quality', 'success', d, NULL),

@@ -45,6 +45,7 @@ class Workspace:
         self.settings = mapping.SETTINGS
         self._landed = False
         self.drained: TableStore | None = None
+        self.reported: TableStore | None = None
         self.store = TableStore(
             spark, f"{shared_folder(spark)}/murmur-{spark.sparkContext.applicationId}-{uuid4().hex}"
         )

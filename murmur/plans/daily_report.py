@@ -17,12 +17,13 @@ from murmur.settings import Settings
 from murmur.sources.tables import TableStore
 
 SNAPSHOT, SUMMARY, RUN_LOG = "dim_user_snapshot", "mart_daily_summary", "pipeline_runs"
-# Tables a reset empties; the calendar, the reports and the run log survive it.
-RESETTABLE = (
-    SNAPSHOT, "dim_user", "dim_hashtag", "dim_language", "fct_posts", "fct_interactions",
-    "fct_user_daily_activity", "mart_engagement", "mart_trending_hashtags",
-    "mart_anomalous_accounts",
+# Built from the data; a reset empties them, the calendar, the reports and the run log survive it.
+_MODELS = (
+    "dim_hashtag", "dim_language", "dim_user",
+    "fct_interactions", "fct_posts", "fct_user_daily_activity",
+    "mart_anomalous_accounts", "mart_engagement", "mart_trending_hashtags",
 )
+RESETTABLE = (*_MODELS, SNAPSHOT)
 _PARALLEL_MODELS = 4
 
 
@@ -89,13 +90,8 @@ def run_models(
 
 def written_suite(store: TableStore, raw: dict[str, DataFrame]) -> list[Check]:
     """All checks over the tables a run has written."""
-    names = (
-        "dim_user", "dim_date", "dim_hashtag", "dim_language", "fct_posts", "fct_interactions",
-        "fct_user_daily_activity", "mart_engagement", "mart_trending_hashtags",
-        "mart_anomalous_accounts",
-    )
     return quality.staging_checks(staging.stage_all(raw)) + quality.mart_checks(
-        {name: store.read(name) for name in names}
+        {name: store.read(name) for name in (*_MODELS, "dim_date")}
     )
 
 
@@ -178,6 +174,9 @@ def run_daily(
         step = "publish_daily_summary"
         store.overwrite_partitions(SUMMARY, marts.daily_summary(daily, day), "report_date")
         log.add(step, "success", verdict["row_count"], 1)
+        # The version before stays for readers that have it open.
+        for name in (*RESETTABLE, "dim_date"):
+            store.vacuum(name)
     except Exception as failure:
         log.add(step, "failed", None, None, str(failure))
         raise

@@ -20,6 +20,8 @@ class Settings:
     # streaming
     trigger_interval: str = "5 seconds"
     max_offsets_per_trigger: int = 50_000
+    # Files of a landed feed in one batch.
+    files_per_trigger: int = 4
     # Batches between two folds of the change log and the partial counts.
     fold_every: int = 720
 
