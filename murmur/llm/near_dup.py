@@ -8,9 +8,11 @@ divided by that share, whatever the corpus size.
 Equal texts are one class from the start. Each class draws consistent weighted samples,
 which are banded. Within a bucket every class is compared with the least one, then with one of
 the last component where that leaves the bucket in several. Classes of buckets still split
-are banded again, more finely, and compared within the fine buckets. Links are weighted
-Jaccard similarities of at least ``threshold``; groups are connected components, named by
-their least doc_id.
+are banded again, more finely, and compared within the fine buckets. What is then still split
+is settled by an exact prefix-filtered join, so every pair of classes of one bucket is linked,
+in one component already, or proven to be below the threshold. Links are weighted Jaccard
+similarities of at least ``threshold``; groups are connected components, named by their least
+doc_id.
 
 Texts without words have no shingles and are grouped with equal texts only. Rows without
 doc_id share the group of rows with the same text; a text that only such rows carry has no
@@ -57,6 +59,11 @@ class Sampling:
 
 _CELLS = 1 << 16
 _SHIFT = np.uint64(48)
+#: Cells of the counts that order shingles, and 64-bit words of a text's parity sketch.
+_ORDER_BITS = 20
+_SKETCH_WORDS = 8
+#: For the rounding of sums of weights, wherever a bound decides.
+_SLACK = 1e-6
 
 
 @lru_cache(maxsize=2)
@@ -80,13 +87,17 @@ def _for_weight(draws: int, weight: float):
 def weighted_set(words: np.ndarray, rules: Sampling, heavy: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of a text's word hashes, ascending, and their weights."""
     shingles, counts = np.unique(shingle_hashes(words, rules.shingle_words), return_counts=True)
+    return shingles, counts * _idf(shingles, rules, heavy)
+
+
+def _idf(shingles: np.ndarray, rules: Sampling, heavy: tuple) -> np.ndarray:
     idf = np.full(len(shingles), rules.top_weight)
     known, weights = heavy
     if len(known) and len(shingles):
         at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
         hit = known[at] == shingles
         idf[hit] = weights[at[hit]]
-    return shingles, counts * idf
+    return idf
 
 
 def similarity(left: tuple, right: tuple) -> float:
@@ -336,6 +347,134 @@ def _fine_pairs(nodes: DataFrame, texts: DataFrame, rules: Sampling, shared) ->
     return low.union(high)
 
 
+def _order_counts(unsettled: DataFrame, rules: Sampling) -> np.ndarray:
+    """Texts per hashed cell of shingles, of a fixed size; each task leaves out its rare cells.
+
+    The counts only order shingles from rare to frequent. Any order gives the same links.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _ORDER_BITS, np.int64)
+        for batch in batches:
+            for words in each_word_hashes(byte_values(batch.column(0))):
+                found = np.unique(shingle_hashes(words, rules.shingle_words))
+                np.add.at(counts, found >> np.uint64(64 - _ORDER_BITS), 1)
+        often = np.flatnonzero(counts > 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(often, pa.int64()), pa.array(counts[often], pa.int64())], names=["cell", "n"]
+        )
+
+    found = (
+        unsettled.select("text")
+        .mapInArrow(count, "cell long, n long")
+        .groupBy("cell")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
+    counts = np.zeros(1 << _ORDER_BITS, np.int64)
+    counts[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles per cell: cells that differ are fewer than shingles that do."""
+    cells = (shingles & np.uint64(64 * _SKETCH_WORDS - 1)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=64 * _SKETCH_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+def _prefixes(unsettled: DataFrame, rules: Sampling, shared) -> DataFrame:
+    """A row per shingle of each text's prefix: node, part, total weight, weight before it, sketch.
+
+    A text ends its prefix where the weight left is below ``threshold`` of its own: texts that
+    share that much share a shingle of both prefixes.
+    """
+    order = unsettled.sparkSession.sparkContext.broadcast(_order_counts(unsettled, rules))
+    names = [f"sketch_{i}" for i in range(_SKETCH_WORDS)]
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths, totals, sketches = [], [], []
+            found, ahead = [np.empty(0, np.uint64)], [np.empty(0)]
+            for words in each_word_hashes(byte_values(batch.column(2))):
+                items, sizes = weighted_set(words, rules, shared.value)
+                cells = order.value[items >> np.uint64(64 - _ORDER_BITS)]
+                at = np.lexsort((items, cells))
+                total = sizes.sum()
+                before = np.cumsum(sizes[at]) - sizes[at]
+                kept = before <= (1 - rules.threshold) * total + _SLACK
+                found.append(items[at][kept])
+                ahead.append(before[kept])
+                lengths.append(int(kept.sum()))
+                totals.append(total)
+                # heavy shingles are left out: each one counted weighs the top weight at least
+                plain = _idf(items, rules, shared.value) == rules.top_weight
+                sketches.append(_sketch(items[plain]))
+            bits = np.stack(sketches) if sketches else np.empty((0, _SKETCH_WORDS), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(found).view(np.int64)),
+                    pa.array(np.repeat(batch.column(0).to_numpy(), lengths)),
+                    pa.array(np.repeat(batch.column(1).to_numpy(), lengths)),
+                    pa.array(np.repeat(np.array(totals, np.float64), lengths)),
+                    pa.array(np.concatenate(ahead)),
+                    *(pa.array(np.repeat(bits[:, i], lengths)) for i in range(_SKETCH_WORDS)),
+                ],
+                names=["shingle", "node", "part", "weight", "ahead", *names],
+            )
+
+    columns = ", ".join(f"{name} long" for name in names)
+    return unsettled.mapInArrow(
+        prefix, f"shingle long, node long, part long, weight double, ahead double, {columns}"
+    )
+
+
+def _settling_pairs(nodes: DataFrame, texts: DataFrame, rules: Sampling, shared) -> DataFrame:
+    """Pairs (x, y) of different parts: all that can reach the threshold among the nodes.
+
+    Similar texts share ``threshold / (1 + threshold)`` of their joint weight. So what is left
+    of either from their first shared shingle on weighs that much, and the shingles that only
+    one has weigh no more than the rest; parity sketches bound those from below. A shingle's
+    rows in its most frequent part meet only the rows outside of it.
+    """
+    unsettled = stored(nodes.join(texts, "node").select("text", "node", "part"), "unsettled")
+    rows = stored(
+        _prefixes(unsettled.select("node", "part", "text"), rules, shared), "prefixes"
+    )
+    mains = (
+        rows.groupBy("shingle", "part")
+        .count()
+        .groupBy("shingle")
+        .agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select("shingle", "main")
+    )
+    met = stored(rows.join(mains, "shingle"), "met")
+    own = met.where("part != main").select("shingle", *(F.col(n).alias(f"x_{n}") for n in _sides()))
+    other = met.select("shingle", *(F.col(n).alias(f"y_{n}") for n in _sides()))
+    joint = F.col("x_weight") + F.col("y_weight")
+    share = rules.threshold / (1 + rules.threshold)
+    left = F.least(F.col("x_weight") - F.col("x_ahead"), F.col("y_weight") - F.col("y_ahead"))
+    apart = sum(
+        F.bit_count(F.col(f"x_sketch_{i}").bitwiseXOR(F.col(f"y_sketch_{i}")))
+        for i in range(_SKETCH_WORDS)
+    )
+    possible = (
+        (F.col("x_part") != F.col("y_part"))
+        & (left >= share * joint - _SLACK)
+        & (apart * rules.top_weight <= (1 - 2 * share) * joint + _SLACK)
+    )
+    return (
+        own.join(other, "shingle")
+        .where(possible)
+        .select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
+    )
+
+
+def _sides() -> list[str]:
+    return ["node", "part", "weight", "ahead", *(f"sketch_{i}" for i in range(_SKETCH_WORDS))]
+
+
 def find_groups(docs: DataFrame, rules: Sampling = Sampling()) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, digest, class_id; the links between classes)."""
     spark = docs.sparkSession
@@ -377,7 +516,7 @@ def find_groups(docs: DataFrame, rules: Sampling = Sampling()) -> tuple[DataFram
     pairs = buckets.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     done = compared = _verified(pairs.distinct(), texts, rules, shared)
     close = F.col("similarity") >= rules.threshold
-    for turn in range(rules.leader_rounds):
+    for turn in range(rules.leader_rounds + 1):
         labels = connected(compared.where(close))
         split = buckets.join(labels, "node", "left").select(
             "band", "value", "node", "weight", F.coalesce("component", "node").alias("part")
@@ -396,8 +535,8 @@ def find_groups(docs: DataFrame, rules: Sampling = Sampling()) -> tuple[DataFram
             found = open_buckets.where("part != last_part").join(last, ["band", "value"])
             more = found.select(F.col("node").alias("x"), F.col("leader").alias("y"))
         else:
-            unsettled = open_buckets.select("node", "part").distinct()
-            more = _fine_pairs(unsettled, texts, rules, shared)
+            find = _fine_pairs if turn + 1 == rules.leader_rounds else _settling_pairs
+            more = find(open_buckets.select("node", "part").distinct(), texts, rules, shared)
         ordered = more.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
         fresh = ordered.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
         compared = done.union(_verified(fresh, texts, rules, shared))

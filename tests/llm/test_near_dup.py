@@ -76,6 +76,26 @@ def test_groups_equal_all_pairs(spark):
     assert sorted((r["class_id"] is None, r["class_id"]) for r in found if r["doc_id"] is None) == [(False, 0), (True, None)]
 
 
+def test_split_buckets_are_settled_exactly(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5_000)]
+    form = [rng.choice(words) for _ in range(400)]
+    rows = []
+    for number in range(150):  # filled-in forms: alike at about 0.6, buckets of many parts
+        text = form + [rng.choice(words) for _ in range(25)]
+        rows.append((2 * number, " ".join(text)))
+        if 30 < number < 120:  # the pairs in the middle of the buckets are alike at about 0.85
+            at = rng.randrange(405, 412)
+            text[at : at + 6] = [rng.choice(words) for _ in range(6)]
+            rows.append((2 * number + 1, " ".join(text)))
+    rules = Sampling(fine_bands=1, fine_rows=60)  # the finer bands find next to nothing
+    docs = frame(spark, rows)
+    groups = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs, rules).collect()}
+    expected = brute(rows, rules, _heavy_shingles(docs, rules))
+    assert len(set(expected.values())) == 150
+    assert groups == expected
+
+
 def test_one_of_each_group_stays(spark):
     rows = corpus()
     docs = frame(spark, rows)
