@@ -3,7 +3,8 @@
 Two histograms are compared with references by Jensen-Shannon distance: the classes of a
 text's characters, and its most common words. The references are learned from all
 documents of the language (a null language counts as its own). Texts or languages with too
-few words are not judged by them.
+few words are not judged by them. The limit of the words is a share of the distance that a
+text without any of the common words has, but not below what chance gives a short text.
 
 Nulls and empty texts have no words; they fail the length rule. Repeated rows are judged
 alike, and other columns of the input never matter.
@@ -11,6 +12,7 @@ alike, and other columns of the input never matter.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +41,8 @@ class QualityRules:
     judged_words: int = 80
     reference_words: int = 5_000
     max_class_distance: float = 0.30
-    max_word_distance: float = 0.62
+    max_word_share: float = 0.70
+    chance_factor: float = 1.2
 
 
 def _class_of_byte() -> np.ndarray:
@@ -162,6 +165,7 @@ class Profile:
     words: list[bytes]
     counts: np.ndarray
     total: int
+    bare: float = 0.0  # word distance of a text that has none of the common words
 
 
 def language_profiles(docs: DataFrame, rules: QualityRules) -> dict[str, Profile]:
@@ -193,7 +197,10 @@ def language_profiles(docs: DataFrame, rules: QualityRules) -> dict[str, Profile
             profile.counts = np.append(profile.counts, row["n"])
     totals = counted.where("char_class = -1").groupBy("language").agg(F.sum("n").alias("n"))
     for row in totals.collect():
-        profiles[row["language"]].total = row["n"]
+        profile = profiles[row["language"]]
+        profile.total = row["n"]
+        without = _with_rest(np.zeros(len(profile.counts)), 1)
+        profile.bare = distance(without, _with_rest(profile.counts, profile.total))
     return profiles
 
 
@@ -201,6 +208,12 @@ def _with_rest(common: np.ndarray, total: int) -> np.ndarray:
     return np.append(common, max(0, total - common.sum()))
 
 
+def word_limit(profile: Profile, n_words: int, rules: QualityRules) -> float:
+    """Greatest word distance of kept texts; drawing words by chance gives about ``chance``."""
+    chance = math.sqrt(len(profile.words) / (8 * math.log(2) * n_words))
+    return max(rules.max_word_share * profile.bare, rules.chance_factor * chance)
+
+
 def measure(
     lang: str | None, text: bytes, words: np.ndarray, profiles: dict, rules: QualityRules
 ) -> tuple:
@@ -214,6 +227,7 @@ def measure(
     n_repeat = repeated_words(words)
     failed = n_words < rules.min_words or 100 * n_repeat > rules.max_repeat_percent * n_words
     by_class = by_word = 0.0
+    limit = 1.0
     profile = profiles.get(lang or _EMPTY_KEY)
     if profile and n_words >= rules.judged_words and profile.total >= rules.reference_words:
         by_class = distance(classes, profile.classes)
@@ -222,11 +236,8 @@ def measure(
         by_word = distance(
             _with_rest(common, sum(plain.values())), _with_rest(profile.counts, profile.total)
         )
-    kept = (
-        not failed
-        and by_class <= rules.max_class_distance
-        and by_word <= rules.max_word_distance
-    )
+        limit = word_limit(profile, n_words, rules)
+    kept = not failed and by_class <= rules.max_class_distance and by_word <= limit
     lines = repeated_lines(text)
     return n_words, word_chars, n_symbols, lines, n_repeat, failed, kept, by_class, by_word
 

@@ -70,6 +70,26 @@ def test_divergent_text_is_rejected_and_prose_stays(spark):
     assert found.loc[205].class_distance > rules.max_class_distance and not found.loc[205].kept
 
 
+def test_wrong_language_and_no_common_words_are_rejected(spark):
+    rng = random.Random(11)
+    common = {
+        "en": "the of and to in is that it was for on are as with they at be this from or".split(),
+        "de": "der die und den von zu das mit sich des auf ist im dem nicht ein eine als auch es".split(),
+    }
+    rare = ["".join(rng.choice("abcdeilnorst") for _ in range(7)) for _ in range(2_000)]
+
+    def prose(lang, share=0.3, n=200):
+        return " ".join(rng.choice(common[lang] if rng.random() < share else rare) for _ in range(n))
+
+    rows = [(i, prose(lang), lang) for i, lang in enumerate(["en", "de"] * 100)]
+    rows += [(300, prose("de"), "en"), (301, prose("en"), "de")]
+    rows += [(302, prose("en", 0), "en"), (303, prose("de", 0), "de"), (304, prose("en", n=80), "en")]
+    found = score_quality(frame(spark, rows)).toPandas().set_index("doc_id")
+    assert not found.base_failed.any()
+    assert found.loc[[*range(200), 304]].kept.all()
+    assert not found.loc[300:303].kept.any()
+
+
 def test_kept_rows_keep_their_columns(spark):
     rows = corpus()
     docs = frame(spark, rows)
