@@ -10,8 +10,10 @@ from murmur.llm.class_lm import score_texts
 from murmur.llm.common import table
 from murmur.llm.decontam import benchmark_items, contaminations
 from murmur.llm.licenses import scan_licenses
+from murmur.llm.manifest import manifest
 from murmur.llm.mixing import mixed_documents
 from murmur.llm.near_dup import near_duplicates
+from murmur.llm.oracle import manifest_sql
 from murmur.llm.quality import score_quality
 from murmur.llm.secrets import scan_secrets
 from murmur.llm.substrings import remove_repeats
@@ -60,6 +62,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -72,8 +78,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_quality": op10_quality,
+        "op11_manifest": op11_manifest,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op11_manifest": manifest_sql()}
