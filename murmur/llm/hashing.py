@@ -63,7 +63,7 @@ def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(text: bytes) -> np.ndarray:
     """One hash per word, in order."""
     if len(text) > _PART:
-        return np.concatenate([_hashes(part)[0] for part in _parts(text)])
+        return np.concatenate([_hashes(part)[0] for part in split_text(text, _PART)])
     return _hashes(text)[0]
 
 
@@ -96,10 +96,11 @@ def _together(texts: list[bytes]) -> Iterator[np.ndarray]:
         low = high
 
 
-def _parts(text: bytes):
+def split_text(text: bytes, size: int) -> Iterator[bytes]:
+    """Parts of at least ``size`` bytes, the last one shorter, that end between words."""
     start = 0
     while start < len(text):
-        end = start + _PART
+        end = start + size
         while end < len(text) and text[end] not in SPACES:
             end += 1
         yield text[start:end]

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from murmur.llm.class_lm import score_texts
 from murmur.llm.common import table
+from murmur.llm.conversations import repair_damaged
 from murmur.llm.decontam import benchmark_items, contaminations
 from murmur.llm.licenses import scan_licenses
 from murmur.llm.manifest import manifest
+from murmur.llm.mil_quality import score_passages
 from murmur.llm.mixing import mixed_documents
 from murmur.llm.near_dup import near_duplicates
 from murmur.llm.oracle import manifest_sql
@@ -66,6 +68,14 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -79,6 +89,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_near_duplicates": op9_near_duplicates,
         "op10_quality": op10_quality,
         "op11_manifest": op11_manifest,
+        "op12_conversations": op12_conversations,
+        "op13_mil_quality": op13_mil_quality,
     }
 
 
