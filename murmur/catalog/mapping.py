@@ -20,7 +20,7 @@ from murmur.functions import identity, text
 from murmur.settings import Settings
 
 SALT = "fixture-salt"
-SETTINGS = Settings(salt=SALT, sampling_rate=0.10, fold_every=2)
+SETTINGS = Settings(salt=SALT, sampling_rate=0.10, fold_every=2, state_buckets=1)
 AS_OF = "2024-01-31 00:00:00"
 AS_OF_MS = 1_706_659_200_000
 DAY = "2024-01-15"

@@ -255,7 +255,7 @@ def _retained(w: Workspace) -> dict[str, tuple[DataFrame, str]]:
     ):
         rollup = change_stream.read_rollup(stream, metric)
         tables[f"realtime.{name}_by_minute"] = (rollup, "minute_bucket")
-    tables["dq.quarantine"] = (stream.read_batches(change_stream.QUARANTINE), "quarantined_at")
+    tables["dq.quarantine"] = (change_stream.read_quarantine(stream), "quarantined_at")
     tables["dq.stream_batches"] = (change_stream.read_batches(stream), "created_at")
     return tables
 
@@ -403,7 +403,7 @@ def stream_cdc_apply(w: Workspace) -> DataFrame:
 
 @query
 def stream_quarantine(w: Workspace) -> DataFrame:
-    rows = _shared_stream(w).read_batches(change_stream.QUARANTINE)
+    rows = change_stream.read_quarantine(_shared_stream(w))
     return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("rejected"))
 
 
@@ -423,9 +423,7 @@ def stream_feed_current(w: Workspace) -> DataFrame:
 @query
 def stream_batches(w: Workspace) -> DataFrame:
     rows = change_stream.read_batches(_shared_stream(w))
-    return rows.select(
-        F.col("batch_id").cast("long").alias("batch_id"), "row_count", "valid_row_count", "latency_ms"
-    )
+    return rows.select("batch_id", "row_count", "valid_row_count", "latency_ms")
 
 
 def _windowed(w: Workspace, build: Callable[[DataFrame], DataFrame], keys: list[str], value: str):

@@ -16,6 +16,10 @@ def millis_to_utc(value: Column) -> Column:
     return F.timestamp_millis(value).cast("timestamp_ntz")
 
 
+def day_of_millis(value: Column) -> Column:
+    return F.to_date(millis_to_utc(value))
+
+
 def utc_literal(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 

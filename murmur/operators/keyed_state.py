@@ -17,6 +17,7 @@ from murmur.schemas import (
     KEY_COLUMNS,
     PAYLOAD_COLUMNS,
     RAW_STATE,
+    STATE_ROW,
     raw_schema,
 )
 
@@ -28,10 +29,7 @@ _STATE_PAYLOAD = [c for c in PAYLOAD_COLUMNS if c not in KEY_COLUMNS]
 
 def current_entities(events: DataFrame) -> DataFrame:
     """Last write wins; a key whose last operation is a delete is gone."""
-    payload = [
-        "occurred_at", "language", "text_length", "hashtags", "has_link", "has_media",
-        "is_reply", "target_user_id_hash", "target_record_key", "operation",
-    ]
+    payload = [c for c in _STATE_PAYLOAD if c not in ("first_seen_at", "last_seen_at")]
     single_row = F.col("entity") == "profile_updates"
     keyed = events.withColumn(
         "record_key", F.when(single_row, F.lit(None)).otherwise(F.col("record_key"))
@@ -81,31 +79,24 @@ def change_log(valid: DataFrame, ingested_at: Column) -> DataFrame:
     )
 
 
-def _state_as_changes(state: DataFrame) -> DataFrame:
-    """Re-express collapsed rows as changes that precede every real one."""
-
-    def at(position: int) -> Column:
-        return F.struct(F.lit(-1).alias("partition"), F.lit(position).cast("long").alias("offset"))
-
+def _state_as_changes(state: DataFrame, written_at: Column, last_at: Column) -> DataFrame:
+    """Re-express collapsed rows as the changes that made them."""
     shared = [*KEY_COLUMNS, "ingested_at", *_STATE_PAYLOAD, "kafka_offset"]
     # cdc_op of a live row is its last non-delete operation; of a deleted row
     # that operation is lost already and only the delete remains visible.
     written = state.select(
         *shared,
-        at(-2).alias("seq"),
+        written_at.alias("seq"),
         F.when(F.col("is_deleted"), F.lit("u")).otherwise(F.col("cdc_op")).alias("op"),
     )
     removed = state.filter("is_deleted").select(
-        *shared, at(-1).alias("seq"), F.lit("d").alias("op")
+        *shared, last_at.alias("seq"), F.lit("d").alias("op")
     )
     return written.unionByName(removed)
 
 
-def collapse_changes(changes: DataFrame) -> DataFrame:
-    """State per key: values of the last non-delete, flags of the last change.
-
-    A key that only ever saw deletes has no row. One shuffle for all entities.
-    """
+def _collapsed(changes: DataFrame) -> DataFrame:
+    """State per key with the arrival of its values and of its last change."""
     writes = F.when(F.col("op") != "d", F.col("seq"))
     image = F.struct(*_STATE_PAYLOAD, "kafka_offset")
     last = F.struct("op", "ingested_at")
@@ -115,6 +106,8 @@ def collapse_changes(changes: DataFrame) -> DataFrame:
             # A null ordering never wins, so deletes do not replace the values.
             F.max_by(F.when(F.col("op") != "d", image), writes).alias("image"),
             F.max_by(last, "seq").alias("last"),
+            F.max(writes).alias("write_seq"),
+            F.max("seq").alias("last_seq"),
         )
         .filter(F.col("image").isNotNull())
         .select(
@@ -123,11 +116,39 @@ def collapse_changes(changes: DataFrame) -> DataFrame:
             F.col("last.op").alias("cdc_op"),
             F.col("last.ingested_at").alias("ingested_at"),
             (F.col("last.op") == "d").alias("is_deleted"),
+            "write_seq",
+            "last_seq",
         )
-        .select(*RAW_STATE.fieldNames())
     )
 
 
+def plain_state(state: DataFrame) -> DataFrame:
+    """State without its arrival and partition columns."""
+    return state.select(*RAW_STATE.fieldNames())
+
+
+def collapse_changes(changes: DataFrame) -> DataFrame:
+    """State per key: values of the last non-delete, flags of the last change.
+
+    A key that only ever saw deletes has no row. One shuffle for all entities.
+    """
+    return plain_state(_collapsed(changes))
+
+
+def merge_state(state: DataFrame, changes: DataFrame) -> DataFrame:
+    """Kept state with further changes, old or new: arrival decides, so any order will do."""
+    held = _state_as_changes(state, F.col("write_seq"), F.col("last_seq"))
+    return _collapsed(held.unionByName(changes.select(*held.columns))).select(
+        *STATE_ROW.fieldNames()
+    )
+
+
+def with_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    """Adds the hash bucket of the user, in which all rows of a key lie."""
+    bucket = F.pmod(F.xxhash64("user_id_hash"), F.lit(buckets)).cast("int")
+    return rows.withColumn("bucket", bucket)
+
+
 def compact_changes(changes: DataFrame) -> DataFrame:
     """The changes that still matter: per key its last write and its last change.
 
@@ -153,8 +174,13 @@ def compact_changes(changes: DataFrame) -> DataFrame:
 
 
 def apply_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """Fold new changes into collapsed state; replaying a batch changes nothing."""
-    return collapse_changes(_state_as_changes(state).unionByName(changes))
+    """Fold new changes into plain collapsed state; replaying a batch changes nothing."""
+
+    def before_all(position: int) -> Column:
+        return F.struct(F.lit(-1).alias("partition"), F.lit(position).cast("long").alias("offset"))
+
+    held = _state_as_changes(state, before_all(-2), before_all(-1))
+    return collapse_changes(held.unionByName(changes))
 
 
 def entity_state(state: DataFrame, entity: str) -> DataFrame:

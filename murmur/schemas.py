@@ -101,6 +101,14 @@ RAW_STATE = T.StructType(
     + LINEAGE
 )
 
+_ARRIVAL = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())])
+
+# Kept state also knows when its values and its last change arrived, so that merging changes
+# again, in whatever order, gives the same rows.
+STATE_ROW = T.StructType(
+    [*RAW_STATE.fields, T.StructField("write_seq", _ARRIVAL), T.StructField("last_seq", _ARRIVAL)]
+)
+
 # Typed fields stay strings inside JSON and are cast leniently afterwards, so
 # one bad field nulls that field only.
 PAYLOAD_JSON = T.StructType(

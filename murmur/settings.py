@@ -22,8 +22,12 @@ class Settings:
     max_offsets_per_trigger: int = 50_000
     # Files of a landed feed in one batch.
     files_per_trigger: int = 4
-    # Batches between two folds of the change log and the partial counts.
+    # Batches between two folds into the partitioned tables.
     fold_every: int = 720
+    # Parts of one entity and day, by hash of the user: a fold rewrites those with a changed key.
+    state_buckets: int = 64
+    # Runs that a day of counts gathers before they are merged.
+    most_runs: int = 8
 
     # models
     creator_min_posts: int = 5

@@ -6,9 +6,18 @@ reader never sees half a table and a failed job leaves the old version in place.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from murmur.session import shared_folder
+
+
+class CommitRefused(RuntimeError):
+    """Another writer has taken the number first."""
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -27,6 +36,57 @@ class TableStore:
         path, fs = self._path(location)
         return fs.exists(path)
 
+    # ------------------------------------------------------------ small files
+
+    def read_text(self, location: str) -> str:
+        path, fs = self._path(location)
+        stream = fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create_text(self, location: str, text: str) -> bool:
+        """Create a file with all its content in one step; False if it exists already.
+
+        The text is written beside and renamed without overwriting, which stores with atomic
+        renames (HDFS) decide for one of several writers.
+        """
+        jvm = self.spark._jvm
+        path, fs = self._path(location)
+        beside, _ = self._path(f"{location}.{uuid4().hex}")
+        stream = fs.create(beside, False)
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        no_options = self.spark._sc._gateway.new_array(
+            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0
+        )
+        try:
+            files.rename(beside, path, no_options)
+            return True
+        except Py4JJavaError as failure:
+            fs.delete(beside, False)
+            if fs.exists(path):
+                return False
+            raise failure
+
+    def delete(self, location: str) -> bool:
+        path, fs = self._path(location)
+        return fs.delete(path, True)
+
+    def scratch(self, table: DataFrame, label: str) -> DataFrame:
+        """The frame as a written table of its own: computed once, no lineage behind it."""
+        folder = f"{shared_folder(self.spark)}/{label}-{uuid4().hex}"
+        table.write.parquet(folder)
+        return self.spark.read.schema(table.schema).parquet(folder)
+
+    # --------------------------------------------------------------- versions
+
     def versions(self, name: str) -> list[int]:
         pattern, fs = self._path(f"{self.location(name)}/version=*/_SUCCESS")
         found = fs.globStatus(pattern) or []
@@ -39,10 +99,24 @@ class TableStore:
         return f"{self.location(name)}/version={version:06d}"
 
     def write(self, name: str, table: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
-        """Full rewrite as a new version. Older versions stay readable."""
-        version = max(self.versions(name), default=-1) + 1
+        """Full rewrite as a new version. Older versions stay readable.
+
+        A writer claims the number first, so two that overlap cannot write the same version;
+        a claim whose writer broke off is skipped by the next one.
+        """
+        version = max([*self.versions(name), *self._claims(name)], default=-1) + 1
+        self.claim(name, version)
         return self.write_version(name, table, version, partition_by)
 
+    def _claims(self, name: str) -> list[int]:
+        pattern, fs = self._path(f"{self.location(name)}/_claims/*.claim")
+        found = fs.globStatus(pattern) or []
+        return [int(s.getPath().getName().split(".")[0]) for s in found]
+
+    def claim(self, name: str, version: int) -> None:
+        if not self.create_text(f"{self.location(name)}/_claims/{version:06d}.claim", ""):
+            raise CommitRefused(f"version {version} of {name} is being written by another run")
+
     def write_version(
         self, name: str, table: DataFrame, version: int, partition_by: tuple[str, ...] = ()
     ) -> int:
@@ -90,6 +164,11 @@ class TableStore:
         reader = self.spark.read
         return (reader.schema(schema) if schema else reader).parquet(self.location(name))
 
+    def batch_ids(self, name: str) -> list[int]:
+        pattern, fs = self._path(f"{self.location(name)}/batch_id=*/_SUCCESS")
+        found = fs.globStatus(pattern) or []
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+
     def drop_batches(self, name: str, through: int) -> None:
         """Remove the directories of all batches up to and with ``through``."""
         pattern, fs = self._path(f"{self.location(name)}/batch_id=*")

@@ -1,14 +1,17 @@
-"""Micro-batch job: change messages to change log, quarantine, rollups and statistics.
+"""Micro-batch job: change messages to current state, quarantine, rollups and statistics.
 
-Every sink writes one directory per batch in overwrite mode, so replaying a
-batch after a failure replaces its own output and nothing is counted twice.
-No row passes through the driver; the statistics come from an observation on
-the batch that is being written anyway.
+Every sink writes one folder per batch in overwrite mode, so replaying a batch after a failure
+replaces its own output and nothing is counted twice. No row passes through the driver; the
+statistics come from an observation on the batch that is being written anyway.
 
-Every ``fold_every`` batches, the change log is compacted to what the state needs and the
-partial counts are added up. The number of a folded version is its last batch: that is the
-commit pointer, and readers take the newest version and the batches behind it only. A batch
-that is replayed after it was folded is written again and not read.
+Every ``fold_every`` batches, the batches behind the last fold move into partitioned tables,
+all by one commit that also names the last batch it covers. Changes are merged into the
+state, of which only the parts (entity, day, bucket of keys) that hold a changed key are
+rewritten. Counts, quarantine and statistics are appended to their days; a day that
+has gathered many runs is merged into one, and once no valid change can reach it any more it is
+merged a last time and sealed. So the bytes a fold writes follow its batches, not the history.
+Readers take the newest commit and the batches behind it. A batch that is replayed after it
+was folded is written again and not read.
 """
 
 from __future__ import annotations
@@ -16,23 +19,27 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from murmur.functions.times import millis_to_utc
+from murmur.functions.times import day_of_millis, millis_to_utc
 from murmur.operators import changes, keyed_state, minute_rollups
+from murmur.schemas import KEY_COLUMNS, STATE_ROW
 from murmur.settings import Settings
+from murmur.sources.ledger import Layout, Ledger, Part, Runs, Snapshot
 from murmur.sources.tables import TableStore
 
 CHANGES, QUARANTINE = "changes", "quarantine"
 PARTIALS, BATCHES = "rollup_partials", "stream_batches"
-FOLDED = {CHANGES: "changes_folded", PARTIALS: "rollups_folded"}
-_PARTITIONS = {CHANGES: ("entity",), PARTIALS: ("metric",)}
+_BATCHED = (CHANGES, QUARANTINE, PARTIALS, BATCHES)
+STATE, ROLLUPS = "state", "rollups"
+_THROUGH, _SEALED = "through_batch", "sealed_before"
 
 BATCH_STATS = T.StructType(
     [
+        T.StructField("batch_id", T.LongType()),
         T.StructField("row_count", T.LongType()),
         T.StructField("valid_row_count", T.LongType()),
         T.StructField("duration_ms", T.LongType()),
@@ -40,12 +47,42 @@ BATCH_STATS = T.StructType(
         T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
+_REJECTED = T.StructType(
+    [
+        T.StructField("source_table", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("raw_payload", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("quarantined_at", T.TimestampNTZType()),
+    ]
+)
+_COUNTS = T.StructType(
+    [
+        T.StructField("minute_ms", T.LongType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("subkey", T.StringType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+LAYOUTS = {
+    STATE: Layout(
+        ("entity", "day", "bucket"),
+        T.StructType([f for f in STATE_ROW.fields if f.name != "entity"]),
+    ),
+    ROLLUPS: Layout(("metric", "day"), _COUNTS),
+    QUARANTINE: Layout(("day",), _REJECTED),
+    BATCHES: Layout(("day",), BATCH_STATS),
+}
 
 
 def wall_clock_ms() -> int:
     return int(time.time() * 1000)
 
 
+# ------------------------------------------------------------------- batches
+
+
 def process_batch(
     messages: DataFrame,
     batch_id: int,
@@ -71,20 +108,11 @@ def process_batch(
     try:
         valid = changes.valid_changes(validated)
         ingested_at = millis_to_utc(F.lit(now_ms).cast("long"))
-        log = keyed_state.change_log(valid, ingested_at)
-        store.append_batch(CHANGES, log, batch_id, partition_by=_PARTITIONS[CHANGES])
-        store.append_batch(
-            QUARANTINE,
-            changes.quarantined_changes(validated).withColumn("quarantined_at", ingested_at),
-            batch_id,
-        )
         activity = minute_rollups.activity_changes(valid, now_ms)
-        store.append_batch(
-            PARTIALS,
-            minute_rollups.rollup_partials(activity),
-            batch_id,
-            partition_by=_PARTITIONS[PARTIALS],
-        )
+        rejected = changes.quarantined_changes(validated).withColumn("quarantined_at", ingested_at)
+        store.append_batch(CHANGES, keyed_state.change_log(valid, ingested_at), batch_id)
+        store.append_batch(QUARANTINE, rejected, batch_id)
+        store.append_batch(PARTIALS, minute_rollups.rollup_partials(activity), batch_id)
     finally:
         validated.unpersist()
     figures = observed.get
@@ -112,7 +140,7 @@ def start(
     def sink(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, store, settings, clock)
         if (batch_id + 1) % settings.fold_every == 0:
-            fold(store, batch_id)
+            fold(store, batch_id, settings, clock)
 
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
@@ -120,42 +148,149 @@ def start(
     return writer.trigger(processingTime=settings.trigger_interval).start()
 
 
-def _current(store: TableStore, name: str) -> DataFrame:
-    """The newest folded version and the batches behind it."""
-    versions = store.versions(FOLDED[name])
-    batches = store.read_batches(name)
-    if not versions:
-        return batches.drop("batch_id")
-    later = batches.filter(F.col("batch_id") > versions[-1]).drop("batch_id")
-    return store.read(FOLDED[name]).unionByName(later)
+# --------------------------------------------------------------------- folds
 
 
-def fold(store: TableStore, through: int) -> None:
-    """Fold all batches up to ``through``, the last finished one.
+def ledger(store: TableStore) -> Ledger:
+    return Ledger(store, LAYOUTS)
 
-    Batches stay until the next fold, for readers that opened the version before this one.
-    """
-    reduced = {
-        CHANGES: keyed_state.compact_changes(_current(store, CHANGES)),
-        PARTIALS: minute_rollups.merged_partials(_current(store, PARTIALS)),
+
+def _covered(snapshot: Snapshot) -> int:
+    return int(snapshot.notes.get(_THROUGH, -1))
+
+
+def _pending(store: TableStore, name: str, after: int, through: int | None = None) -> DataFrame | None:
+    """The batches behind a commit, None if there are none."""
+    if not any(n > after for n in store.batch_ids(name)):
+        return None
+    rows = store.read_batches(name).filter(F.col("batch_id") > after)
+    return rows if through is None else rows.filter(F.col("batch_id") <= through)
+
+
+def _merged_state(settings: Settings) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    def merge(held: DataFrame, arrived: DataFrame) -> DataFrame:
+        return with_home(keyed_state.merge_state(held, arrived), settings)
+
+    return merge
+
+
+def with_home(state: DataFrame, settings: Settings) -> DataFrame:
+    """Adds the partition columns of the state."""
+    return keyed_state.with_bucket(state, settings.state_buckets).withColumn(
+        "day", F.to_date("occurred_at")
+    )
+
+
+def _day_of_counts() -> Column:
+    return day_of_millis(F.col("minute_ms"))
+
+
+def _folded_counts(
+    book: Ledger, snapshot: Snapshot, arrived: DataFrame, settings: Settings, open_from: str
+) -> dict[Part, Runs]:
+    """Counts of the new batches behind those of their days; full or closing days become one run."""
+    fresh = book.append(
+        snapshot,
+        ROLLUPS,
+        minute_rollups.merged_partials(arrived).withColumn("day", _day_of_counts()),
+    )
+    sealed_before = str(snapshot.notes.get(_SEALED, ""))
+    day = LAYOUTS[ROLLUPS].place("day")
+    after = {**snapshot.parts(ROLLUPS), **fresh}
+    crowded = {
+        part
+        for part, runs in after.items()
+        if len(runs) > settings.most_runs
+        or (len(runs) > 1 and sealed_before <= (part[day] or "") < open_from)
     }
-    for name, table in reduced.items():
-        earlier = [v for v in store.versions(FOLDED[name]) if v < through]
-        store.write_version(FOLDED[name], table, through, _PARTITIONS[name])
-        store.vacuum(FOLDED[name])
-        if earlier:
-            store.drop_batches(name, earlier[-1])
+    if not crowded:
+        return fresh
+    whole = Snapshot(snapshot.number, {ROLLUPS: after})
+    merged = minute_rollups.merged_partials(book.read(whole, ROLLUPS, lambda p: p in crowded))
+    return fresh | book.replace(ROLLUPS, merged.withColumn("day", _day_of_counts()), crowded)
+
+
+def fold(
+    store: TableStore,
+    through: int,
+    settings: Settings,
+    clock: Callable[[], int] = wall_clock_ms,
+) -> Snapshot:
+    """Move all batches up to ``through``, the last finished one, into the tables, by one commit.
+
+    Batches stay until the next fold, for readers that opened the commit before this one.
+    """
+    book = ledger(store)
+    snapshot = book.snapshot()
+    covered = _covered(snapshot)
+    open_from = str(millis_to_day(clock() - settings.max_age_ms))
+    moved: dict[str, dict[Part, Runs]] = {}
+    log = _pending(store, CHANGES, covered, through)
+    if log is not None:
+        arrived = keyed_state.compact_changes(log.drop("batch_id"))
+        arrived = store.scratch(keyed_state.with_bucket(arrived, settings.state_buckets), "fold-changes")
+        moved[STATE] = book.upsert(
+            snapshot, STATE, arrived, KEY_COLUMNS, _merged_state(settings), home=("entity", "bucket")
+        )
+    counts = _pending(store, PARTIALS, covered, through)
+    if counts is not None:
+        moved[ROLLUPS] = _folded_counts(book, snapshot, counts.drop("batch_id"), settings, open_from)
+    for name, stamp in ((QUARANTINE, "quarantined_at"), (BATCHES, "created_at")):
+        rows = _pending(store, name, covered, through)
+        if rows is not None:
+            moved[name] = book.append(snapshot, name, rows.withColumn("day", F.to_date(stamp)))
+    sealed = max(open_from, str(snapshot.notes.get(_SEALED, "")))
+    after = book.commit(snapshot, moved, {_THROUGH: max(through, covered), _SEALED: sealed})
+    book.vacuum()
+    for name in _BATCHED:
+        store.drop_batches(name, covered)
+    return after
+
+
+def millis_to_day(millis: int) -> str:
+    return time.strftime("%Y-%m-%d", time.gmtime(millis // 1000))
+
+
+# --------------------------------------------------------------------- reads
+
+
+def _current(store: TableStore, name: str) -> DataFrame:
+    """Folded rows of an appended table and those of the batches behind them."""
+    book = ledger(store)
+    snapshot = book.snapshot()
+    folded = book.read(snapshot, name).drop("day")
+    later = _pending(store, name, _covered(snapshot))
+    if later is None:
+        return folded
+    return folded.unionByName(later.select(*folded.columns))
 
 
 def read_batches(store: TableStore) -> DataFrame:
-    return store.read_batches(BATCHES)
+    return _current(store, BATCHES)
+
+
+def read_quarantine(store: TableStore) -> DataFrame:
+    return _current(store, QUARANTINE)
 
 
 def read_rollup(store: TableStore, metric: str) -> DataFrame:
     """Folded counts and those of the batches behind them, added up."""
-    return minute_rollups.merged_rollup(_current(store, PARTIALS), metric)
+    book = ledger(store)
+    snapshot = book.snapshot()
+    place = LAYOUTS[ROLLUPS].place("metric")
+    counts = book.read(snapshot, ROLLUPS, lambda part: part[place] == metric).drop("day")
+    later = _pending(store, PARTIALS, _covered(snapshot))
+    if later is not None:
+        counts = counts.unionByName(later.select(*counts.columns))
+    return minute_rollups.merged_rollup(counts, metric)
 
 
 def read_state(store: TableStore) -> DataFrame:
-    """Current rows of every entity: the compacted log and the batches behind it, collapsed."""
-    return keyed_state.collapse_changes(_current(store, CHANGES))
+    """Current rows of every entity; no shuffle unless batches wait behind the last commit."""
+    book = ledger(store)
+    snapshot = book.snapshot()
+    held = book.read(snapshot, STATE)
+    later = _pending(store, CHANGES, _covered(snapshot))
+    if later is not None:
+        held = keyed_state.merge_state(held, later.drop("batch_id"))
+    return keyed_state.plain_state(held)

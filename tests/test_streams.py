@@ -10,6 +10,7 @@ from murmur.operators import changes, keyed_state, minute_rollups
 from murmur.schemas import KEY_COLUMNS, PAYLOAD_COLUMNS, RAW_STATE
 from murmur.settings import Settings
 from murmur.sources import streams
+from murmur.sources.tables import CommitRefused
 from murmur.streaming import change_stream, feed_stream, windowed
 
 NOW = 1_706_659_200_000
@@ -93,7 +94,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, folder, store, fold
         log = keyed_state.change_log(valid(spark, folder), F.lit(None).cast("timestamp_ntz"))
         state = keyed_state.collapse_changes(log).drop("ingested_at")
         assert rows(change_stream.read_state(store).drop("ingested_at")) == rows(state)
-        assert store.read_batches(change_stream.QUARANTINE).count() == 1
+        assert change_stream.read_quarantine(store).count() == 1
         stats = change_stream.read_batches(store).orderBy("batch_id").collect()
         assert [(r.row_count, r.valid_row_count) for r in stats] == [(3, 3), (3, 2), (3, 3)]
         assert [r.latency_ms for r in stats] == [8 * MINUTE, 7 * MINUTE, 6 * MINUTE]
@@ -102,7 +103,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, folder, store, fold
     again = spark.createDataFrame(MESSAGES[3:6], COLUMNS)
     change_stream.process_batch(again, 1, store, SETTINGS, lambda: NOW)
     check()
-    change_stream.fold(store, 2)
+    change_stream.fold(store, 2, SETTINGS, lambda: NOW)
     check()
 
 
@@ -111,10 +112,111 @@ def test_reads_leave_folded_batches_alone(spark, folder, store):
     for read in (change_stream.read_state(store), change_stream.read_rollup(store, minute_rollups.EVENTS)):
         plan = read._jdf.queryExecution().executedPlan().toString()
         assert "batch_id#" in plan and "> 1)" in plan
-    change_stream.fold(store, 2)
-    for name in change_stream.FOLDED:
-        left = {r.batch_id for r in store.read_batches(name).select("batch_id").distinct().collect()}
-        assert left == {2}, name
+    change_stream.fold(store, 2, SETTINGS, lambda: NOW)
+    for name in ("changes", "quarantine", "rollup_partials", "stream_batches"):
+        assert store.batch_ids(name) == [2], name
+    plan = change_stream.read_state(store)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan, "kept state is read as it lies"
+
+
+def runs_of(store, table):
+    return dict(change_stream.ledger(store).snapshot().parts(table))
+
+
+def test_a_fold_rewrites_only_parts_with_changed_keys(spark, store):
+    day = 86_400_000
+    settings = replace(SETTINGS, state_buckets=16)
+
+    def batch(number, messages):
+        change_stream.process_batch(
+            spark.createDataFrame(messages, COLUMNS), number, store, settings, lambda: NOW
+        )
+        change_stream.fold(store, number, settings, lambda: NOW)
+
+    def at(offset, user, days, **kwargs):
+        message = list(change(offset, user, NOW - days * day, **kwargs))
+        value = json.loads(message[3])
+        for image in ("before", "after"):
+            if value[image]:
+                value[image]["occurred_at"] = f"2024-01-{30 - days:02d}T12:00:00Z"
+        return (*message[:3], json.dumps(value))
+
+    batch(0, [at(i, f"u{i}", i % 5) for i in range(1, 101)])
+    before = runs_of(store, "state")
+    assert {part[1] for part in before} == {f"2024-01-{d}" for d in range(26, 31)} and len(before) > 40
+    # One user writes today, one changes an old post, one moves a post to another day.
+    batch(1, [at(201, "u1", 0, key="new"), at(202, "u8", 3, op="u", key="r8"), at(203, "u4", 2, op="u", key="r4")])
+    after = runs_of(store, "state")
+    changed = {part for part in set(before) | set(after) if before.get(part) != after.get(part)}
+    assert {part[1] for part in changed} == {"2024-01-30", "2024-01-27", "2024-01-26", "2024-01-28"}
+    assert len(changed) == 4
+    state = change_stream.read_state(store)
+    assert state.count() == 101
+    moved = state.filter("record_key = 'r4'").collect()
+    assert [r.occurred_at.day for r in moved] == [28] and [r.cdc_op for r in moved] == ["u"]
+    # A delete keeps the row in its part, and nothing else moves.
+    batch(2, [at(204, "u8", 3, op="d", key="r8")])
+    last = runs_of(store, "state")
+    assert len({p for p in set(last) | set(after) if last.get(p) != after.get(p)}) == 1
+    assert change_stream.read_state(store).filter("is_deleted").count() == 1
+
+
+def test_counts_are_appended_then_merged_and_sealed(spark, store):
+    settings = replace(SETTINGS, most_runs=3, max_age_ms=2 * 86_400_000)
+    day = 86_400_000
+
+    def batch(number, ts, now):
+        messages = [change(number * 10 + i, f"u{i}", ts) for i in range(3)]
+        change_stream.process_batch(
+            spark.createDataFrame(messages, COLUMNS), number, store, settings, lambda: now
+        )
+        change_stream.fold(store, number, settings, lambda: now)
+
+    early = NOW - day
+    for number in range(3):
+        batch(number, early, NOW)
+    of_day = {p: r for p, r in runs_of(store, "rollups").items() if p[1] == "2024-01-30"}
+    assert {len(runs) for runs in of_day.values()} == {3}
+    batch(3, early, NOW)
+    of_day = {p: r for p, r in runs_of(store, "rollups").items() if p[1] == "2024-01-30"}
+    assert {len(runs) for runs in of_day.values()} == {1}, "a crowded day becomes one run"
+    batch(4, early, NOW)
+    batch(5, NOW + 3 * day, NOW + 3 * day)
+    sealed = {p: r for p, r in runs_of(store, "rollups").items() if p[1] == "2024-01-30"}
+    assert {len(runs) for runs in sealed.values()} == {1}, "a day no change can reach is merged"
+    batch(6, NOW + 3 * day, NOW + 3 * day)
+    assert sealed == {p: r for p, r in runs_of(store, "rollups").items() if p[1] == "2024-01-30"}
+    total = change_stream.read_rollup(store, minute_rollups.EVENTS).agg(F.sum("event_count")).first()[0]
+    assert total == 21
+
+
+def test_a_fold_that_breaks_off_shows_nothing(spark, folder, store, monkeypatch):
+    """State and counts move by one commit: failing between their writes leaves readers behind it."""
+    drain(spark, folder, store, SETTINGS)
+    change_stream.fold(store, 1, SETTINGS, lambda: NOW)
+    before = rows(change_stream.read_state(store)), rows(change_stream.read_rollup(store, minute_rollups.EVENTS))
+    number = change_stream.ledger(store).snapshot().number
+
+    def broken(*args, **kwargs):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(change_stream, "_folded_counts", broken)
+        with pytest.raises(OSError):
+            change_stream.fold(store, 2, SETTINGS, lambda: NOW)
+    assert change_stream.ledger(store).snapshot().number == number
+    assert before == (rows(change_stream.read_state(store)), rows(change_stream.read_rollup(store, minute_rollups.EVENTS)))
+    change_stream.fold(store, 2, SETTINGS, lambda: NOW)
+    assert before == (rows(change_stream.read_state(store)), rows(change_stream.read_rollup(store, minute_rollups.EVENTS)))
+
+
+def test_of_two_folds_that_overlap_one_is_refused(spark, folder, store):
+    drain(spark, folder, store, SETTINGS)
+    book = change_stream.ledger(store)
+    base = book.snapshot()
+    change_stream.fold(store, 2, SETTINGS, lambda: NOW)
+    with pytest.raises(CommitRefused):
+        book.commit(base, {}, {"through_batch": 2})
 
 
 def test_older_changes_do_not_regress_compacted_state(spark):
