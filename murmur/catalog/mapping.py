@@ -6,6 +6,8 @@ a post's text is the whole text of a document plus tags and a link.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +28,14 @@ AS_OF_MS = 1_706_659_200_000
 DAY = "2024-01-15"
 RUNS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", "2024-01-31 00:00:00")
 CHUNKS = 5
+# Files of a landed chunk, which are also those of one micro-batch.
+CHUNK_FILES = 8
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Small inputs arrive as fewer splits than there are cores; larger ones pass."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def _every(n: int) -> Column:
     return F.col("seq") % n == 0
 
@@ -62,7 +60,8 @@ def social_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     bot_time = F.lit(f"{DAY} 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         secs=F.col("event_id") % 600
     )
-    base = spread(events).select(
+    # Dealt out whatever the splits of the input: one shuffle of narrow rows.
+    base = events.repartition("event_id").select(
         F.col("event_id").alias("seq"),
         F.col("ts").alias("arrived_at"),
         "user_id",
@@ -87,7 +86,7 @@ def social_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _posts(spark: SparkSession, sf_dir: str, social: DataFrame) -> DataFrame:
-    documents = spread(given(spark, sf_dir, "documents"))
+    documents = given(spark, sf_dir, "documents").repartition("doc_id")
     count = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
     posts = social.filter(F.col("kind") == "post").withColumn("doc_id", F.col("seq") % count)
     empty = F.lit("")
@@ -141,6 +140,8 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("operation") == "delete", F.lit(None))
         .when(is_kind == "post", post)
         .when(is_kind.isin("like", "repost"), F.to_json(F.struct(F.struct(uri.alias("uri")).alias("subject"))))
+        # Some name no account.
+        .when(is_kind.isin("follow", "block") & _every(61), "{}")
         .when(is_kind.isin("follow", "block"), F.to_json(F.struct(F.col("target_did").alias("subject"))))
         .otherwise("{}")
     )
@@ -175,6 +176,7 @@ def _broken(value: Column) -> Column:
     """Texts that are no single JSON object."""
     return (
         F.when(_every(5), F.translate(value, '"', "'"))
+        .when(_every(7), F.concat(value, F.lit('],[{"op":"c"}')))
         .when(_every(3), F.concat(value, F.lit(' {"op":"d"}')))
         .when(_every(2), F.concat(value, F.lit(" trailing")))
         .otherwise("not JSON")
@@ -276,28 +278,43 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(value)
         .alias("value"),
     )
-    user_image = F.to_json(
+    return main.unionByName(_user_messages(spark, sf_dir, envelope))
+
+
+def _user_messages(
+    spark: SparkSession, sf_dir: str, envelope: Callable[[Column, Column, Column, Column], Column]
+) -> DataFrame:
+    """Users are created with their first event, updated with some others; some leave at their last."""
+    social = social_events(spark, sf_dir)
+    spans = social.groupBy("user_id").agg(
+        F.min("seq").alias("first_seq"),
+        F.max("seq").alias("last_seq"),
+        F.min_by("occurred_at", "seq").alias("first_seen_at"),
+    )
+    leaves = (F.col("seq") == F.col("last_seq")) & (F.col("user_id") % 50 == 49)
+    enters = F.col("seq") == F.col("first_seq")
+    image = F.to_json(
         F.struct(
             "user_id_hash",
-            F.lit("2024-01-01T00:00:00.000000Z").alias("first_seen_at"),
+            _zulu("first_seen_at").alias("first_seen_at"),
             _zulu("occurred_at").alias("last_seen_at"),
         )
     )
-    users = (
-        social_events(spark, sf_dir)
-        .filter(_every(20))
+    key, null = F.to_json(F.struct("user_id_hash")), F.lit("null")
+    value = envelope(
+        F.when(leaves, "d").when(enters, "c").otherwise("u"),
+        F.when(leaves, key).otherwise(null),
+        F.when(leaves, null).otherwise(image),
+        F.unix_millis(F.col("arrived_at").cast("timestamp")),
+    )
+    return (
+        social.join(spans, "user_id")
+        .filter(leaves | enters | _every(20))
+        .withColumn("user_id_hash", identity.hash_user_id(F.col("did"), SALT))
         .select(
-            F.concat(prefix, F.lit("users")).alias("topic"),
+            F.lit(SETTINGS.topic_prefix + "users").alias("topic"),
             (F.col("user_id") % 4).cast("int").alias("partition"),
             F.col("seq").alias("offset"),
-            identity.hash_user_id(F.col("did"), SALT).alias("user_id_hash"),
-            "occurred_at",
-            F.unix_millis(F.col("arrived_at").cast("timestamp")).alias("sent_ms"),
-            "seq",
-        )
-        .select(
-            "topic", "partition", "offset",
-            envelope(F.lit("u"), null, user_image, F.col("sent_ms")).alias("value"),
+            value.alias("value"),
         )
     )
-    return main.unionByName(users)

@@ -89,12 +89,14 @@ FROM p
 
 # ------------------------------------------------------------------ feed side
 
+_GONE = "operation = 'delete'"
 _cte("fe", ("s", "f"), f"""
-SELECT s.*, (epoch_us(s.occurred_at))::BIGINT AS time_us,
-  CASE WHEN target_did IS NOT NULL THEN sha256('{SALT}:' || target_did) END AS th,
+SELECT s.* REPLACE (CASE WHEN NOT lost THEN target_did END AS target_did), lost AND NOT {_GONE} AS lost,
+  (epoch_us(s.occurred_at))::BIGINT AS time_us,
+  CASE WHEN target_did IS NOT NULL AND NOT lost THEN sha256('{SALT}:' || target_did) END AS th,
   CAST(('0x' || substr(uh, 1, 8)) AS BIGINT) / 4294967295.0::DOUBLE AS bucket,
   f.* EXCLUDE (seq)
-FROM s LEFT JOIN f USING (seq)
+FROM (SELECT *, kind IN ('follow', 'block') AND seq % 61 = 0 AS lost FROM s) s LEFT JOIN f USING (seq)
 WHERE seq % 79 <> 0 AND seq % 83 <> 0 AND seq % 89 <> 0 AND seq % 97 <> 0
 """)
 _cte("fs", ("fe",), f"SELECT * FROM fe WHERE bucket < {RATE}")
@@ -103,7 +105,7 @@ SELECT * FROM (
   SELECT fe.*, CASE WHEN kind <> 'profile_update' THEN rkey END AS rk,
     row_number() OVER (PARTITION BY entity, uh, CASE WHEN kind <> 'profile_update' THEN rkey END
                        ORDER BY seq DESC) AS newest
-  FROM fe)
+  FROM fe WHERE NOT lost)
 WHERE newest = 1 AND operation <> 'delete'
 """)
 _cte("u", ("fe",), """
@@ -141,11 +143,17 @@ SELECT entity, part, seq, op, ms, uh, rk,
   CAST(NULL AS TIMESTAMP) AS first_seen_at, CAST(NULL AS TIMESTAMP) AS last_seen_at
 FROM c WHERE damage IS NULL
 """)
-_cte("vu", ("s",), """
-SELECT 'users' AS entity, CAST(user_id % 4 AS INTEGER) AS part, seq, 'u' AS op,
-  epoch_us(ts) // 1000 AS ms, uh, TIMESTAMP '2024-01-01 00:00:00' AS first_seen_at,
-  occurred_at AS last_seen_at
-FROM s WHERE seq % 20 = 0
+_cte("life", ("s",), """
+SELECT user_id, min(seq) AS f, max(seq) AS l, arg_min(occurred_at, seq) AS entered FROM s GROUP BY 1
+""")
+_cte("vu", ("s", "life"), """
+SELECT 'users' AS entity, CAST(user_id % 4 AS INTEGER) AS part, seq, op, ms, uh,
+  CASE WHEN op <> 'd' THEN entered END AS first_seen_at,
+  CASE WHEN op <> 'd' THEN occurred_at END AS last_seen_at
+FROM (SELECT s.*, entered, epoch_us(ts) // 1000 AS ms,
+        CASE WHEN seq = l AND user_id % 50 = 49 THEN 'd' WHEN seq = f THEN 'c' ELSE 'u' END AS op
+      FROM s JOIN life USING (user_id)
+      WHERE seq = f OR seq % 20 = 0 OR (seq = l AND user_id % 50 = 49))
 """)
 _cte("va", ("v", "vu"), "SELECT * FROM v UNION ALL BY NAME SELECT * FROM vu")
 _cte("ends", ("va",), """
@@ -168,6 +176,9 @@ _cte("live", ("st",), """
 SELECT *, uh || '::' || rk AS id, CAST(occurred_at AS DATE) AS occurred_date
 FROM st WHERE NOT is_deleted AND entity <> 'users'
 """)
+_cte("lu", ("st",), """
+SELECT uh, first_seen_at, last_seen_at FROM st WHERE entity = 'users' AND NOT is_deleted
+""")
 _cte("act", ("va",), """
 SELECT *, date_trunc('minute', make_timestamp(ms * 1000)) AS minute_bucket
 FROM va WHERE entity <> 'users'
@@ -201,14 +212,14 @@ def _summary(seen: str, live: str, run: str = "") -> str:
 SELECT {run} uh AS user_id_hash, max(first_seen_at) FILTER (WHERE sighting) AS first_seen_at,
   max(last_seen_at) FILTER (WHERE sighting) AS last_seen_at, {_TOTALS},
   mode(language ORDER BY language) FILTER (WHERE entity = 'posts') AS main_language,
-  ['lurker', 'engager', 'creator'][
-    CASE {posts} // 5 WHEN 0 THEN 1 + least({reached} // 5, 1) ELSE 3 END] AS segment
+  CASE WHEN {posts} >= {SETTINGS.creator_min_posts} THEN 'creator'
+       WHEN {reached} >= {SETTINGS.engager_min_actions} THEN 'engager' ELSE 'lurker' END AS segment
 FROM (SELECT true AS sighting, {run} uh, first_seen_at, last_seen_at FROM {seen}
       UNION ALL BY NAME SELECT false AS sighting, {run} uh, entity, language FROM {live})
 GROUP BY {run} uh HAVING bool_or(sighting)"""
 
 
-_cte("summary", ("u", "live"), _summary("u", "live"))
+_cte("summary", ("lu", "live"), _summary("lu", "live"))
 _cte("inter", ("live",), """
 SELECT CASE entity WHEN 'likes' THEN 'like' WHEN 'reposts' THEN 'repost'
                    WHEN 'follows' THEN 'follow' ELSE 'block' END AS interaction_type,
@@ -264,9 +275,10 @@ _cte("hlive", ("hw", "v"), """
 SELECT hw.run, v.* FROM hw JOIN v ON v.entity = hw.entity AND v.seq = hw.wrote
 WHERE hw.last_op <> 'd'
 """)
-_cte("hu", ("fe", "runs"), """
-SELECT run, uh, arg_min(occurred_at, seq) AS first_seen_at, arg_max(occurred_at, seq) AS last_seen_at
-FROM fe, runs WHERE ts < run GROUP BY run, uh
+_cte("hu", ("vu", "runs"), """
+SELECT run, uh, arg_max(first_seen_at, seq) FILTER (WHERE op <> 'd') AS first_seen_at,
+  arg_max(last_seen_at, seq) FILTER (WHERE op <> 'd') AS last_seen_at
+FROM vu, runs WHERE make_timestamp(ms * 1000) < run GROUP BY run, uh HAVING arg_max(op, seq) <> 'd'
 """)
 _cte("hsum", ("hu", "hlive"), _summary("hu", "hlive", "run,"))
 _cte("hopen", ("hsum",), """
@@ -349,7 +361,6 @@ _oracle("resume_scan", ("fe", "fs"), f"""
 SELECT seq, kind AS event_type, time_us FROM fe
 WHERE time_us > coalesce((SELECT max(time_us) FROM fs WHERE {_BEFORE_DAY}), -1)
 """)
-_GONE = "operation = 'delete'"
 _oracle("parse_events", ("fe",), f"""
 SELECT seq, kind AS event_type, operation, did, rkey AS record_key, time_us,
   CASE WHEN NOT {_GONE} THEN target_did END AS target_did,
@@ -377,7 +388,12 @@ _oracle("entity_events", ("fs",), f"""
 SELECT seq, entity, operation, uh AS user_id_hash, rkey AS record_key, occurred_at,
   CASE WHEN NOT {_GONE} THEN th END AS target_user_id_hash,
   CASE WHEN NOT {_GONE} THEN target_rkey END AS target_record_key
-FROM fs
+FROM fs WHERE NOT lost
+""")
+_oracle("rejected_events", ("fs",), """
+SELECT seq, entity, operation, uh AS user_id_hash, rkey AS record_key, occurred_at,
+  'missing required field: target_user_id_hash' AS reason
+FROM fs WHERE lost
 """)
 _CURRENT = """
 SELECT entity, uh AS user_id_hash, rk AS record_key, occurred_at, language, text_length,
@@ -387,8 +403,14 @@ FROM cur
 """
 _oracle("entity_current", ("cur",), _CURRENT)
 _oracle("stream_feed_current", ("cur",), f"{_CURRENT} WHERE bucket < {RATE}")
-_oracle("users_seen stg_users", ("u",), "SELECT uh AS user_id_hash, first_seen_at, last_seen_at FROM u")
-_oracle("high_water", ("fs",), "SELECT max(time_us) AS last_time_us FROM fs")
+_SPANS = "SELECT uh AS user_id_hash, first_seen_at, last_seen_at FROM"
+_oracle("users_seen", ("u",), f"{_SPANS} u")
+_oracle("stg_users", ("lu",), f"{_SPANS} lu")
+_oracle("stream_users_seen", ("fs",), """
+SELECT uh AS user_id_hash, arg_min(occurred_at, seq) AS first_seen_at,
+  arg_max(occurred_at, seq) AS last_seen_at FROM fs GROUP BY 1
+""")
+_oracle("high_water stream_high_water", ("fs",), "SELECT max(time_us) AS last_time_us FROM fs")
 _oracle("cdc_apply cdc_apply_incremental", ("st",), f"SELECT {_STATE_COLUMNS}, ingested_at FROM st")
 _oracle("stream_cdc_apply", ("st",), f"SELECT {_STATE_COLUMNS} FROM st")
 _oracle("redelivery", ("va",), "SELECT entity, op, count(*) AS changes FROM va GROUP BY 1, 2")
@@ -449,7 +471,7 @@ SELECT '{name}' AS table_name, count(*) FILTER (WHERE NOT ({column} {_OLD})) AS
   count(*) FILTER (WHERE {column} {_OLD}) AS deleted_rows FROM {table}"""
 
 
-_oracle("retention_counts", ("st", "act", "mt", "mlang", "reasons", "batches"), " UNION ALL ".join(
+_oracle("retention_counts retention_applied", ("st", "act", "mt", "mlang", "reasons", "batches"), " UNION ALL ".join(
     [_aged(f"raw.{e}", f"(SELECT * FROM st WHERE entity = '{e}')", "occurred_at")
      for e in ("posts", "likes", "reposts", "follows", "blocks", "profile_updates")]
     + [
@@ -463,10 +485,65 @@ _oracle("retention_counts", ("st", "act", "mt", "mlang", "reasons", "batches"),
               f"TIMESTAMP '{AS_OF}'"),
         _aged("dq.stream_batches", "batches", f"TIMESTAMP '{AS_OF}'"),
     ]))
-_oracle("retention_keep", ("st",), f"""
-SELECT uh AS user_id_hash, rk AS record_key, occurred_at, is_deleted
-FROM st WHERE entity = 'posts' AND NOT (occurred_at {_OLD})
-""")
+
+
+def _young(name: str, table: str, key: str, column: str) -> str:
+    return f"""
+SELECT '{name}' AS table_name, {key} AS row_key, {column} AS row_time FROM {table}
+WHERE ({column} {_OLD}) IS NOT TRUE"""
+
+
+_oracle("retention_keep retention_survivors", ("st", "act", "mt", "mlang", "reasons", "batches"), " UNION ALL ".join(
+    [_young(f"raw.{e}", f"(SELECT * FROM st WHERE entity = '{e}')",
+            "uh" if e == "profile_updates" else "uh || '|' || coalesce(rk, '-')", "occurred_at")
+     for e in ("posts", "likes", "reposts", "follows", "blocks", "profile_updates")]
+    + [
+        _young("realtime.event_counts_by_minute",
+               "(SELECT DISTINCT minute_bucket, entity, op FROM act)", "entity || '|' || op", "minute_bucket"),
+        _young("realtime.active_users_by_minute",
+               "(SELECT DISTINCT minute_bucket, uh FROM act)", "uh", "minute_bucket"),
+        _young("realtime.hashtag_counts_by_minute", "mt", "hashtag", "minute_bucket"),
+        _young("realtime.language_counts_by_minute", "mlang", "language", "minute_bucket"),
+        _young("dq.quarantine", "(SELECT * FROM reasons WHERE reason IS NOT NULL)",
+               "reason || '|' || part || '|' || seq", f"TIMESTAMP '{AS_OF}'"),
+        _young("dq.stream_batches", "batches", "CAST(batch_id AS VARCHAR)", f"TIMESTAMP '{AS_OF}'"),
+    ]))
+_ENTITIES = ("posts", "likes", "reposts", "follows", "blocks", "profile_updates")
+_RESET = {
+    "source.users": "SELECT DISTINCT uh FROM fs",
+    **{f"source.{e}": f"SELECT 1 FROM cur WHERE bucket < {RATE} AND entity = '{e}'" for e in _ENTITIES},
+    **{f"raw.{e}": f"SELECT 1 FROM st WHERE entity = '{e}'" for e in ("users", *_ENTITIES)},
+    "realtime.event_counts_by_minute": "SELECT DISTINCT minute_bucket, entity, op FROM act",
+    "realtime.active_users_by_minute": "SELECT DISTINCT minute_bucket, uh FROM act",
+    "realtime.hashtag_counts_by_minute": "FROM mt",
+    "realtime.language_counts_by_minute": "FROM mlang",
+    "dq.quarantine": "SELECT 1 FROM reasons WHERE reason IS NOT NULL",
+    "dq.stream_batches": "FROM batches",
+    "snapshots.dim_user_snapshot": "FROM summary",
+    "marts.dim_user": "FROM summary",
+    "marts.dim_hashtag": "SELECT DISTINCT hashtag FROM tags",
+    "marts.dim_language": "SELECT DISTINCT language FROM live WHERE entity = 'posts' AND language IS NOT NULL",
+    "marts.fct_posts": "SELECT 1 FROM live WHERE entity = 'posts'",
+    "marts.fct_interactions": "FROM inter",
+    "marts.fct_user_daily_activity": "FROM daily",
+    "marts.mart_engagement": "FROM engage",
+    "marts.mart_trending_hashtags": "FROM trend",
+    "marts.mart_anomalous_accounts": "FROM anom",
+}
+_KEPT = {
+    "marts.dim_date": "(DATE '2030-12-31' - DATE '2024-01-01') + 1",
+    "marts.mart_daily_summary": "1", "marts.pipeline_runs": "6",
+}
+_oracle(
+    "reset_counts",
+    ("fs", "cur", "st", "act", "mt", "mlang", "reasons", "batches", "summary", "tags", "live", "inter",
+     "daily", "engage", "trend", "anom"),
+    " UNION ALL ".join(
+        [f"SELECT '{name}' AS table_name, (SELECT count(*) FROM ({rows})) AS rows_before,"
+         " CAST(0 AS BIGINT) AS rows_after" for name, rows in _RESET.items()]
+        + [f"SELECT '{name}', CAST({n} AS BIGINT), CAST({n} AS BIGINT)" for name, n in _KEPT.items()]
+    ),
+)
 _oracle("parse_cdc", ("c", "vu"), f"""
 SELECT CASE WHEN damage = 'bad_topic' THEN NULL ELSE entity END AS entity, part AS partition,
   seq AS "offset",
@@ -477,7 +554,7 @@ SELECT CASE WHEN damage = 'bad_topic' THEN NULL ELSE entity END AS entity, part
   NOT broken AND op = 'd' AS has_before, NOT broken AND op <> 'd' AS has_after
 FROM (SELECT *, coalesce(damage IN ('not_json', 'tombstone'), false) AS broken FROM c)
 UNION ALL
-SELECT entity, part, seq, op, ms, NULL, false, true FROM vu
+SELECT entity, part, seq, op, ms, NULL, op = 'd', op <> 'd' FROM vu
 """)
 _oracle("cdc_validate", ("reasons", "vu"), """
 SELECT entity, part AS partition, seq AS "offset", reason FROM reasons
@@ -572,9 +649,11 @@ _oracle("dq_accepted_values", ("inter",), """
 SELECT interaction_type AS value, count(*) AS occurrences FROM inter
 WHERE interaction_type NOT IN ('like', 'repost', 'follow') GROUP BY 1
 """)
-_oracle("dq_relationships", ("inter", "fs"), """
+_oracle("dq_relationships", ("inter", "st"), f"""
 SELECT target_user_id_hash AS value, count(*) AS occurrences FROM inter
-WHERE target_user_id_hash IS NOT NULL AND target_user_id_hash NOT IN (SELECT uh FROM fs)
+WHERE target_user_id_hash IS NOT NULL AND target_user_id_hash NOT IN (
+  SELECT uh FROM st WHERE entity = 'users'
+  AND CAST(('0x' || substr(uh, 1, 8)) AS BIGINT) / 4294967295.0::DOUBLE < {RATE})
 GROUP BY 1
 """)
 _oracle("dq_one_current", ("hist",), """
@@ -583,12 +662,12 @@ WHERE valid_to IS NULL AND segment = 'creator' GROUP BY 1
 """)
 _ENTITY_LIST = ("posts", "likes", "reposts", "follows", "blocks")
 _STALE = f"coalesce(TIMESTAMP '{AS_OF}' - newest > INTERVAL 1 MINUTE, true) AS is_stale"
-_oracle("dq_freshness", ("st", "u"), f"""
+_oracle("dq_freshness", ("st",), f"""
 SELECT *, {_STALE} FROM (
 """ + " UNION ALL ".join(
     f"SELECT '{e}' AS source_table, max(ingested_at) AS newest FROM st WHERE entity = '{e}'"
-    for e in (*_ENTITY_LIST, "profile_updates")
-) + " UNION ALL SELECT 'users', max(last_seen_at) FROM u)")
+    for e in (*_ENTITY_LIST, "profile_updates", "users")
+) + ")")
 _oracle("dq_partition_gate", ("daily",), f"""
 SELECT count(*) AS row_count, count(*) FILTER (WHERE user_id_hash IS NULL) AS null_keys,
   count(*) - count(DISTINCT user_id_hash) AS duplicate_keys,
@@ -644,8 +723,8 @@ def _check_rows() -> str:
         rows.append((f"not_null_{name}_{column}", "error",
                      f"SELECT 1 FROM {table} WHERE {expr} IS NULL"))
 
-    unique("stg_users", "user_id_hash", "u", "uh")
-    not_null("stg_users", "user_id_hash", "u", "uh")
+    unique("stg_users", "user_id_hash", "lu", "uh")
+    not_null("stg_users", "user_id_hash", "lu", "uh")
     for entity in _ENTITY_LIST:
         table = f"(SELECT * FROM live WHERE entity = '{entity}')"
         id_name = f"{entity[:-1]}_id"
@@ -697,7 +776,7 @@ SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn
                ELSE 'fail' END AS status FROM ({counted})"""
 
 
-_oracle("dq_report", ("u", "live", "hist", "tags", "engage", "anom", "inter", "daily", "trend"),
+_oracle("dq_report", ("lu", "live", "hist", "tags", "engage", "anom", "inter", "daily", "trend"),
         _check_rows())
 _oracle("run_log", ("st", "daily", "cur"), f"""
 SELECT task, status, rows_read, rows_written FROM (
@@ -715,6 +794,14 @@ LATERAL (VALUES
   ('publish_daily_summary', 'success', d, 1)) AS t(task, status, rows_read, rows_written)
 """)
 
+_oracle("run_log_not_caught_up", ("cur",), f"""
+SELECT task, status, rows_read, CAST(NULL AS BIGINT) AS rows_written FROM (
+  SELECT count(*) AS s FROM cur WHERE {_IN_DAY}
+  AND entity IN ('posts', 'likes', 'reposts', 'follows', 'blocks')),
+LATERAL (VALUES ('check_source_partition', CASE WHEN s > 0 THEN 'success' ELSE 'skipped' END, s),
+  ('load_raw_partition', 'failed', CAST(NULL AS BIGINT))) AS t(task, status, rows_read)
+""")
+
 # -------------------------------------------------------------------- serving
 
 _oracle("serve_event_rate", ("act",), """
@@ -739,7 +826,7 @@ ORDER BY engagement_count DESC, post_id LIMIT 10
 _oracle("layer_totals", ("cur", "u", "st", "live", "inter"), """
 SELECT 'source' AS layer, (SELECT count(*) FROM cur) + (SELECT count(*) FROM u) AS row_count
 UNION ALL
-SELECT 'raw', (SELECT count(*) FROM st WHERE entity <> 'users') + (SELECT count(*) FROM u)
+SELECT 'raw', (SELECT count(*) FROM st)
 UNION ALL
 SELECT 'marts', (SELECT count(*) FROM live WHERE entity = 'posts') + (SELECT count(*) FROM inter)
 """)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ from murmur.operators import (
     minute_rollups,
     retention,
 )
-from murmur.plans import daily_report, intermediate, marts, quality, serving, staging
+from murmur.plans import daily_report, intermediate, marts, quality, registry, serving, staging
 from murmur.schemas import PAYLOAD_COLUMNS
 from murmur.sources import streams
 from murmur.streaming import change_stream, feed_stream, windowed
@@ -209,10 +212,16 @@ def active_users_merged(w: Workspace) -> DataFrame:
 
 @query
 def fct_interactions_incremental(w: Workspace) -> DataFrame:
-    """A first load up to the day, then one incremental run over everything."""
+    """A first load up to the day, then one incremental run over everything, by touched days."""
     interactions = marts.fct_interactions(w.staged())
     loaded = interactions.filter(F.col("occurred_at") < utc_literal(f"{DAY} 12:00:00"))
-    return marts.incremental_interactions(loaded, interactions, w.settings)
+    store = w.scratch_store("fact")
+    book = daily_report.ledger(store)
+    for rows in (loaded, interactions):
+        base = book.snapshot()
+        moved = daily_report.interaction_changes(book, base, rows, w.settings)
+        book.commit(base, {daily_report.INTERACTIONS: moved})
+    return daily_report.read(store, daily_report.INTERACTIONS)
 
 
 @query
@@ -265,12 +274,111 @@ def retention_counts(w: Workspace) -> DataFrame:
     return retention.retention_counts(_retained(w), utc_literal(AS_OF), w.settings.retention_days)
 
 
+def _named_rows(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows of many tables under one roof: table, key as text, time."""
+    parts = []
+    for name, (table, time) in tables.items():
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in _KEYS[name.split(".")[0]](name)]
+        parts.append(
+            table.select(
+                F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("row_key"),
+                F.col(time).alias("row_time"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rollup_keys(name: str) -> list[str]:
+    metric = {
+        "event_counts": minute_rollups.EVENTS, "active_users": minute_rollups.USERS,
+        "hashtag_counts": minute_rollups.TAGS, "language_counts": minute_rollups.LANGUAGES,
+    }[name.split(".")[1].removesuffix("_by_minute")]
+    return minute_rollups.KEY_COLUMNS[metric][1:]
+
+
+_KEYS: dict[str, Callable[[str], list[str]]] = {
+    "raw": lambda name: ["user_id_hash", "record_key"] if name != "raw.profile_updates" else ["user_id_hash"],
+    "realtime": _rollup_keys,
+    "dq": lambda name: ["reason", "partition", "offset"] if name == "dq.quarantine" else ["batch_id"],
+}
+
+
 @query
 def retention_keep(w: Workspace) -> DataFrame:
-    kept = retention.keep_recent(
-        w.raw("posts"), "occurred_at", utc_literal(AS_OF), w.settings.retention_days
-    )
-    return kept.select("user_id_hash", "record_key", "occurred_at", "is_deleted")
+    """What the age limit keeps of all twelve tables, as a filter."""
+    kept = {
+        name: (retention.keep_recent(table, time, utc_literal(AS_OF), w.settings.retention_days), time)
+        for name, (table, time) in _retained(w).items()
+    }
+    return _named_rows(kept)
+
+
+def _aged(w: Workspace):
+    """The change job's tables after retention, on a line of commits of its own."""
+    stream = _shared_stream(w)
+    change_stream.fold_all(stream, w.settings, lambda: AS_OF_MS)
+    book = change_stream.ledger(stream).fork(f"retention-{uuid4().hex}")
+    tables = registry.retained_tables(registry.CHANGES)
+    after, deleted = retention.apply_retention(book, tables, AS_OF, w.settings.retention_days)
+    return tables, retention.survivors(book, after, tables), deleted
+
+
+@query
+def retention_applied(w: Workspace) -> DataFrame:
+    """Rows that dropping parts took from each table, and rows left."""
+    _, left, deleted = _aged(w)
+    kept = [
+        rows.agg(F.count(F.lit(1)).alias("kept_rows")).select(F.lit(name).alias("table_name"), "kept_rows")
+        for name, rows in left.items()
+    ]
+    return reduce(DataFrame.unionByName, kept).join(deleted, "table_name")
+
+
+@query
+def retention_survivors(w: Workspace) -> DataFrame:
+    """The rows that are left after dropping parts."""
+    tables, left, _ = _aged(w)
+    return _named_rows({t.name: (left[t.name], t.time) for t in tables})
+
+
+@query
+def reset_counts(w: Workspace) -> DataFrame:
+    """Rows of every table before and after a reset, on lines of commits of their own."""
+    daily = _daily_run(w)
+    stream, feed = _shared_stream(w), _shared_feed(w)
+    change_stream.fold_all(stream, w.settings, lambda: AS_OF_MS)
+    feed_stream.fold_all(feed, w.settings)
+    books = {
+        registry.CHANGES: change_stream.ledger(stream),
+        registry.FEED: feed_stream.ledger(feed),
+        registry.DAILY: daily_report.ledger(daily),
+    }
+    lines = {holder: book.fork(f"reset-{uuid4().hex}") for holder, book in books.items()}
+    before = {holder: book.snapshot() for holder, book in lines.items()}
+    for holder, book in lines.items():
+        registry.reset(book, holder)
+    after = {holder: book.snapshot() for holder, book in lines.items()}
+    files = {
+        daily_report.SUMMARY: w.spark.read.parquet(daily.location(daily_report.SUMMARY)),
+        daily_report.RUN_LOG: daily_report.read_run_log(daily),
+    }
+    parts = []
+    for info in registry.all_tables():
+
+        def rows(snapshots, info=info) -> DataFrame:
+            if info.stored in files:
+                return files[info.stored]
+            book = lines[info.holder]
+            return info.rows(book.read(snapshots[info.holder], info.stored, info.holds))
+
+        count = F.count(F.lit(1))
+        parts.append(
+            rows(before).agg(count.alias("rows_before")).select(
+                F.lit(info.name).alias("table_name"), "rows_before",
+                rows(after).agg(count.alias("n")).scalar().alias("rows_after"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ------------------------------------------------------------------------ CDC
@@ -409,15 +517,40 @@ def stream_quarantine(w: Workspace) -> DataFrame:
 
 @query
 def stream_feed_current(w: Workspace) -> DataFrame:
-    """The feed job run until drained: current rows of the sampled users."""
-    w.feed()
-    store = w.scratch_store("feed-stream")
-    landed = f"{w.store.location('feed')}/version=*"
-    feed_stream.start(
-        streams.feed_stream(w.spark, landed, w.settings.files_per_trigger), store, w.settings,
-        store.location("checkpoint"), available_now=True,
-    ).awaitTermination()
-    return feed_stream.read_current(store).withColumn("hashtags", F.array_join("hashtags", ","))
+    """Current rows of the sampled users, folded batch by batch."""
+    current = feed_stream.read_current(_shared_feed(w))
+    return current.withColumn("hashtags", F.array_join("hashtags", ","))
+
+
+def _shared_feed(w: Workspace):
+    """One run of the feed job until it is drained serves all queries on its tables."""
+    if w.fed is None:
+        w.feed()
+        store = w.scratch_store("feed-stream")
+        landed = f"{w.store.location('feed')}/version=*"
+        feed_stream.start(
+            streams.feed_stream(w.spark, landed, w.settings.files_per_trigger), store, w.settings,
+            store.location("checkpoint"), available_now=True,
+        ).awaitTermination()
+        w.fed = store
+    return w.fed
+
+
+@query
+def stream_users_seen(w: Workspace) -> DataFrame:
+    return feed_stream.read_users(_shared_feed(w))
+
+
+@query
+def stream_high_water(w: Workspace) -> DataFrame:
+    return feed_stream.read_high_water(_shared_feed(w))
+
+
+@query
+def rejected_events(w: Workspace) -> DataFrame:
+    """Follows and blocks without an account, set aside by the feed job."""
+    rows = feed_stream.read_rejected(_shared_feed(w))
+    return rows.select("seq", "entity", "operation", "user_id_hash", "record_key", "occurred_at", "reason")
 
 
 @query
@@ -678,7 +811,7 @@ def layer_counts(w: Workspace) -> DataFrame:
     store = _daily_run(w)
     published = w.spark.read.parquet(store.location(daily_report.SUMMARY))
     return quality.layer_counts(
-        w.raw("posts"), w.staged()["posts"], store.read("fct_posts"), published, DAY
+        w.raw("posts"), w.staged()["posts"], daily_report.read(store, "fct_posts"), published, DAY
     )
 
 
@@ -703,13 +836,39 @@ def growth_check(w: Workspace) -> DataFrame:
     return checks.grew(before, keyed_state.high_water(events))
 
 
+def _stream_has_passed(w: Workspace, moment: str) -> Callable[[], bool]:
+    """Asks the change job's batches whether one ended past a moment and the margin."""
+
+    def ready() -> bool:
+        batches = change_stream.read_batches(_shared_stream(w))
+        margin = w.settings.catch_up_margin_seconds
+        return checks.caught_up(batches, utc_literal(moment), margin).first()["caught_up"]
+
+    return ready
+
+
+@query
+def run_log_not_caught_up(w: Workspace) -> DataFrame:
+    """A run that asks for a moment the stream has not reached: it stops before any model."""
+    store = w.scratch_store("behind")
+    settings = replace(w.settings, catch_up_limit_seconds=0)
+    try:
+        daily_report.run_daily(
+            w.spark, store, w.raw_tables(), DAY, run_at=AS_OF, settings=settings,
+            source_counts=_source_counts(w), caught_up=_stream_has_passed(w, AS_OF),
+        )
+    except checks.QualityFailure:
+        pass
+    return daily_report.read_run_log(store).select("task", "status", "rows_read", "rows_written")
+
+
 def _daily_run(w: Workspace):
     """One run of the daily report serves all queries that only read its tables."""
     if w.reported is None:
         store = w.scratch_store("daily")
         daily_report.run_daily(
             w.spark, store, w.raw_tables(), DAY, run_at=AS_OF, settings=w.settings,
-            source_counts=_source_counts(w),
+            source_counts=_source_counts(w), caught_up=_stream_has_passed(w, f"{DAY} 23:59:59"),
         )
         w.reported = store
     return w.reported

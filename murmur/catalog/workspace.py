@@ -11,22 +11,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.catalog import mapping
 from murmur.constants import ENTITIES
 from murmur.functions.times import utc_literal
-from murmur.operators import changes, feed_events, history, keyed_state
-from murmur.plans import intermediate, staging
-from murmur.schemas import RAW_STATE, raw_schema
+from murmur.operators import changes, feed_events, keyed_state
+from murmur.plans import daily_report, intermediate, staging
+from murmur.schemas import RAW_STATE, placed, raw_schema
 from murmur.session import shared_folder, use_utc
 from murmur.sources import streams
 from murmur.sources.tables import TableStore
 
-# So that a chunk of a small input still keeps several cores busy.
-_MIN_FILES = 4
-
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
 
 
@@ -44,6 +41,9 @@ class Workspace:
         self.sf_dir = sf_dir
         self.settings = mapping.SETTINGS
         self._landed = False
+        self._history_built = False
+        self._raw: DataFrame | None = None
+        self.fed: TableStore | None = None
         self.drained: TableStore | None = None
         self.reported: TableStore | None = None
         self.store = TableStore(
@@ -60,11 +60,6 @@ class Workspace:
 
     # ------------------------------------------------------------- landing
 
-    def _file_share(self) -> int:
-        """Files per landed chunk, in step with the splits of the input."""
-        events = mapping.given(self.spark, self.sf_dir, "events")
-        return max(_MIN_FILES, -(-events.rdd.getNumPartitions() // mapping.CHUNKS))
-
     def feed(self) -> DataFrame:
         self._once("feed", lambda: self.store.write("feed", mapping.feed_lines(self.spark, self.sf_dir)))
         return self.store.read("feed")
@@ -80,13 +75,12 @@ class Workspace:
             whole = self.store.read("messages/whole")
             bounds = whole.agg(F.max("offset").alias("last")).first()
             size = (bounds["last"] or 0) // mapping.CHUNKS + 1
-            files = self._file_share()
             for chunk in range(mapping.CHUNKS):
                 (
                     whole.filter(
                         (F.col("offset") >= chunk * size) & (F.col("offset") < (chunk + 1) * size)
                     )
-                    .repartition(files)
+                    .repartition(mapping.CHUNK_FILES)
                     # A landing that broke off starts over.
                     .write.mode("append" if chunk else "overwrite")
                     .parquet(folder)
@@ -99,7 +93,7 @@ class Workspace:
 
     def message_stream(self) -> DataFrame:
         folder = self.message_folder()
-        return streams.file_changes(self.spark, folder, self._file_share())
+        return streams.file_changes(self.spark, folder, mapping.CHUNK_FILES)
 
     # ----------------------------------------------------------- feed side
 
@@ -133,7 +127,7 @@ class Workspace:
             self.store.write("change_log", log, ("entity",))
 
         self._once("change_log", build)
-        return self.store.read("change_log").filter(F.col("entity") != "users")
+        return self.store.read("change_log")
 
     def ingested_events(self) -> DataFrame:
         """Pseudonymised feed events of all users."""
@@ -147,45 +141,26 @@ class Workspace:
 
     # ----------------------------------------------------------- raw layer
 
-    def _first_seq_after(self, run: str) -> Column:
-        """Arrival times rise with the sequence, so a time bound is a sequence bound."""
-        events = mapping.given(self.spark, self.sf_dir, "events")
-        later = events.filter(F.col("ts") >= utc_literal(run)).agg(F.min("event_id").alias("n"))
-        return F.coalesce(later.scalar(), F.lit(2**63 - 1))
-
-    def _seen(self, since: str | None = None, until: str | None = None) -> DataFrame:
-        events = self.ingested_events()
-        if since is not None:
-            events = events.filter(F.col("seq") >= self._first_seq_after(since))
-        if until is not None:
-            events = events.filter(F.col("seq") < self._first_seq_after(until))
-        return keyed_state.users_seen(events)
-
-    def _users_raw(self, seen: DataFrame) -> DataFrame:
-        rows = keyed_state.users_as_raw(seen, F.col("last_seen_at"))
-        return rows.select(
-            F.lit("users").alias("entity"), *rows.columns
-        )
-
-    def _state_layout(self, state: DataFrame) -> DataFrame:
-        """One balanced set of files per entity, times clustered for page skipping."""
-        return state.hint("rebalance", F.col("entity")).sortWithinPartitions(
-            "entity", "occurred_at"
+    def _build_raw(self) -> None:
+        """One set of files per entity and day, times clustered for page skipping."""
+        state = keyed_state.collapse_changes(self.logged_changes())
+        rows = state.withColumn("day", F.to_date("occurred_at"))
+        rows = rows.hint("rebalance", F.col("entity"), F.col("day")).sortWithinPartitions(
+            "entity", "day", "occurred_at"
         )
+        self.store.write("raw", rows, ("entity", "day"))
 
-    def _build_raw(self) -> None:
-        records = keyed_state.collapse_changes(self.logged_changes())
-        users = self._users_raw(self._seen())
-        whole = records.unionByName(users, allowMissingColumns=True).select(*RAW_STATE.fieldNames())
-        self.store.write("raw", self._state_layout(whole), ("entity",))
+    def _raw_rows(self) -> DataFrame:
+        self._once("raw", self._build_raw)
+        if self._raw is None:
+            # One listing of the folders for all entities.
+            self._raw = self.store.read("raw", placed(RAW_STATE, "entity", "day"))
+        return self._raw
 
     def raw(self, entity: str) -> DataFrame:
-        self._once("raw", self._build_raw)
-        return (
-            self.store.read("raw", RAW_STATE)
-            .filter(F.col("entity") == entity)
-            .select(*raw_schema(entity).fieldNames())
-        )
+        """Rows of one entity; filters on ``day`` prune folders."""
+        rows = self._raw_rows().filter(F.col("entity") == entity)
+        return rows.select(*raw_schema(entity).fieldNames(), "day")
 
     def raw_tables(self) -> dict[str, DataFrame]:
         return {entity: self.raw(entity) for entity in ENTITIES}
@@ -201,46 +176,35 @@ class Workspace:
     def _build_history(self) -> None:
         """Three snapshot runs, each on the state its changes had reached by then.
 
-        State and history are carried from run to run as written tables, and a
-        run only reads the changes that arrived since the previous one.
+        State is carried from run to run as a written table, and a run only reads the changes
+        that arrived since the previous one. Each run replaces the open part of the history.
         """
         log = self.logged_changes()
+        book = daily_report.ledger(self.store)
         since = None
         for run in mapping.RUNS:
             arrived = F.col("ingested_at") < utc_literal(run)
             if since is not None:
                 arrived = arrived & (F.col("ingested_at") >= utc_literal(since))
             fresh = log.filter(arrived)
-            seen = self._seen(since, run)
             if since is None:
                 state = keyed_state.collapse_changes(fresh)
             else:
                 state = keyed_state.apply_changes(self.store.read("history_state", RAW_STATE), fresh)
-                seen = keyed_state.merge_users_seen(self.store.read("history_seen"), seen)
-            self.store.write("history_state", self._state_layout(state), ("entity",))
-            self.store.write("history_seen", seen)
+            self.store.write("history_state", state.hint("rebalance", F.col("entity")), ("entity",))
             state = self.store.read("history_state", RAW_STATE)
             staged = {
                 entity: staging.staged(keyed_state.entity_state(state, entity), entity)
                 for entity in ENTITIES
-                if entity != "users"
             }
-            staged["users"] = staging.staged(
-                keyed_state.users_as_raw(
-                    self.store.read("history_seen"), F.col("last_seen_at")
-                ),
-                "users",
-            )
             current = intermediate.user_activity_summary(staged, self.settings)
-            at = utc_literal(run)
-            if since is None:
-                rows = history.first_snapshot(current, at)
-            else:
-                rows = history.snapshot(self.store.read("history_part"), current, at)
-            self.store.write("history_part", rows)
+            base = book.snapshot()
+            moved = daily_report.snapshot_changes(book, base, current, run)
+            book.commit(base, {daily_report.SNAPSHOT: moved})
             since = run
-        self.store.write("dim_user_snapshot", self.store.read("history_part"))
+        self._history_built = True
 
     def history(self) -> DataFrame:
-        self._once("dim_user_snapshot", self._build_history)
-        return self.store.read("dim_user_snapshot")
+        if not self._history_built:
+            self._build_history()
+        return daily_report.read(self.store, daily_report.SNAPSHOT)

@@ -18,7 +18,7 @@ from murmur.constants import (
     REASON_UNKNOWN_OPERATION,
     REASON_UNPARSEABLE,
 )
-from murmur.functions.documents import json_objects, only_object
+from murmur.functions.documents import is_object, json_roots, only_object
 from murmur.functions.once import with_evaluated
 from murmur.schemas import PAYLOAD_COLUMNS, PAYLOAD_JSON, REQUIRED_COLUMNS, payload_type
 from murmur.settings import Settings
@@ -29,7 +29,7 @@ _ENVELOPE = (
     .add("op", "string")
     .add("before", PAYLOAD_JSON)
     .add("after", PAYLOAD_JSON)
-    .add("source", "string")
+    .add("source", T.VariantType())
     .add("ts_ms", "string")
 )
 
@@ -61,28 +61,24 @@ def parse_changes(messages: DataFrame, settings: Settings) -> DataFrame:
     decoded = with_evaluated(
         messages.select("topic", "partition", "offset", "value"),
         "roots",
-        F.when(present, json_objects("value", _ENVELOPE)),
+        F.when(present, json_roots("value", _ENVELOPE)),
     )
-    envelope = only_object("roots", "value")
-    decoded = decoded.withColumn("envelope", envelope)
-    source = F.col("envelope.source")
-    odd_source = F.coalesce(~source.startswith("{"), F.lit(False))
-    broken = present & (F.col("envelope").isNull() | odd_source)
-
-    def field(name: str) -> Column:
-        return F.when(~F.col("broken"), F.col(f"envelope.{name}"))
-
-    source_ts = _whole_number(F.get_json_object(field("source"), "$.ts_ms"))
-    return decoded.withColumn("broken", broken).select(
+    # A source block that is there must be an object as well.
+    root = only_object("roots", "value")
+    whole = F.coalesce(is_object(root["source"]), F.lit(True))
+    decoded = with_evaluated(decoded, "envelope", F.when(whole, root)).drop("roots")
+    broken = present & F.col("envelope").isNull()
+    source_ts = _whole_number(F.try_variant_get("envelope.source", "$.ts_ms", "string"))
+    return decoded.select(
         "partition",
         "offset",
         "value",
         entity_of_topic(F.col("topic"), settings.topic_prefix).alias("entity"),
-        field("op").alias("op"),
-        field("before").alias("before"),
-        field("after").alias("after"),
-        F.coalesce(_truthy(source_ts), _whole_number(field("ts_ms"))).alias("source_ts_ms"),
-        F.when(F.col("broken"), F.lit("invalid JSON")).alias("parse_error"),
+        F.col("envelope.op").alias("op"),
+        F.col("envelope.before").alias("before"),
+        F.col("envelope.after").alias("after"),
+        F.coalesce(_truthy(source_ts), _whole_number(F.col("envelope.ts_ms"))).alias("source_ts_ms"),
+        F.when(broken, F.lit("invalid JSON")).alias("parse_error"),
     )
 
 

@@ -14,7 +14,7 @@ from murmur.constants import (
     REASON_MISSING_FIELD,
 )
 from murmur.functions import identity, text, times
-from murmur.functions.documents import json_objects, only_object
+from murmur.functions.documents import json_roots, only_object
 from murmur.functions.once import with_evaluated
 from murmur.schemas import ENTITY_COLUMNS, FEED_SCHEMA
 
@@ -26,7 +26,7 @@ def _lookup(mapping: dict[str, str], key: Column) -> Column:
 
 def decode_feed(feed: DataFrame) -> DataFrame:
     """One JSON parse per line; lines that are no JSON object become null rows."""
-    decoded = with_evaluated(feed, "roots", json_objects("value", FEED_SCHEMA))
+    decoded = with_evaluated(feed, "roots", json_roots("value", FEED_SCHEMA))
     return decoded.withColumn("event", only_object("roots", "value")).drop("roots")
 
 

@@ -71,6 +71,11 @@ def snapshot(history: DataFrame, current: DataFrame, run_at: Column) -> DataFram
     return closed.unionByName(snapshot_step(open_rows, current, run_at))
 
 
+def with_month(versions: DataFrame) -> DataFrame:
+    """Adds the part of each version: the month in which it was closed, none while open."""
+    return versions.withColumn("month", F.date_format("valid_to", "yyyy-MM"))
+
+
 def repair_history(history: DataFrame) -> DataFrame:
     """Undo overlapping runs: one row per version, one open row per user.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.schemas import (
-    ENTITY_COLUMNS,
+    CURRENT_ROW,
     KEY_COLUMNS,
     PAYLOAD_COLUMNS,
     RAW_STATE,
@@ -27,38 +27,55 @@ _STATE_PAYLOAD = [c for c in PAYLOAD_COLUMNS if c not in KEY_COLUMNS]
 # ---------------------------------------------------------------- feed side
 
 
-def current_entities(events: DataFrame) -> DataFrame:
-    """Last write wins; a key whose last operation is a delete is gone."""
-    payload = [c for c in _STATE_PAYLOAD if c not in ("first_seen_at", "last_seen_at")]
+def last_events(events: DataFrame) -> DataFrame:
+    """The last event of every key, deletes included; a user has one profile row."""
     single_row = F.col("entity") == "profile_updates"
     keyed = events.withColumn(
         "record_key", F.when(single_row, F.lit(None)).otherwise(F.col("record_key"))
     )
+    payload = [c for c in CURRENT_ROW.fieldNames() if c not in KEY_COLUMNS]
     return (
         keyed.groupBy(*KEY_COLUMNS)
         .agg(F.max_by(F.struct(*payload), "seq").alias("last"))
         .select(*KEY_COLUMNS, "last.*")
-        .filter(F.col("operation") != "delete")
     )
 
 
-def users_seen(events: DataFrame) -> DataFrame:
+def written_events(last: DataFrame) -> DataFrame:
+    """Without the keys whose last operation is a delete."""
+    return last.filter(F.col("operation") != "delete")
+
+
+def current_entities(events: DataFrame) -> DataFrame:
+    """Last write wins; a key whose last operation is a delete is gone."""
+    return written_events(last_events(events)).drop("seq")
+
+
+def spans(events: DataFrame, *more: Column) -> DataFrame:
     """First and last arrival per user, deletes and every entity included."""
     return events.groupBy("user_id_hash").agg(
         F.min_by("occurred_at", "seq").alias("first_seen_at"),
         F.max_by("occurred_at", "seq").alias("last_seen_at"),
+        F.min("seq").alias("first_seq"),
+        F.max("seq").alias("last_seq"),
+        *more,
     )
 
 
-def merge_users_seen(state: DataFrame, arrived: DataFrame) -> DataFrame:
-    """Later spans extend known users: the first sighting stays, the last moves on."""
-    tagged = state.withColumn("turn", F.lit(0)).unionByName(arrived.withColumn("turn", F.lit(1)))
-    return tagged.groupBy("user_id_hash").agg(
-        F.min_by("first_seen_at", "turn").alias("first_seen_at"),
-        F.max_by("last_seen_at", "turn").alias("last_seen_at"),
+def merged_spans(parts: DataFrame) -> DataFrame:
+    """Spans of any pieces of the feed put together."""
+    return parts.groupBy("user_id_hash").agg(
+        F.min_by("first_seen_at", "first_seq").alias("first_seen_at"),
+        F.max_by("last_seen_at", "last_seq").alias("last_seen_at"),
+        F.min("first_seq").alias("first_seq"),
+        F.max("last_seq").alias("last_seq"),
     )
 
 
+def users_seen(events: DataFrame) -> DataFrame:
+    return spans(events).drop("first_seq", "last_seq")
+
+
 def high_water(events: DataFrame) -> DataFrame:
     """One row: the largest event time already taken in."""
     return events.agg(F.max("time_us").alias("last_time_us"))
@@ -187,17 +204,6 @@ def entity_state(state: DataFrame, entity: str) -> DataFrame:
     return state.filter(F.col("entity") == entity).select(*raw_schema(entity).fieldNames())
 
 
-def users_as_raw(seen: DataFrame, ingested_at: Column) -> DataFrame:
-    """Seen spans in the raw layout of the users entity."""
-    return seen.select(
-        *ENTITY_COLUMNS["users"],
-        F.lit(None).cast("long").alias("kafka_offset"),
-        F.lit("u").alias("cdc_op"),
-        ingested_at.alias("ingested_at"),
-        F.lit(False).alias("is_deleted"),
-    )
-
-
 # ------------------------------------------------------------ generic merges
 
 

@@ -1,12 +1,18 @@
-"""Age limits on operational tables."""
+"""Age limits on operational tables: counted, filtered, and applied by dropping parts."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmur.functions.times import utc_literal
+from murmur.sources.ledger import Ledger, Part, Snapshot
+
 
 def _cutoff(as_of: Column, days: int) -> Column:
     return as_of - F.make_dt_interval(days=F.lit(days))
@@ -32,3 +38,53 @@ def retention_counts(
             ).select(F.lit(name).alias("table_name"), "kept_rows", "deleted_rows")
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+@dataclass(frozen=True)
+class Retained:
+    """A logical table under the age limit: where its parts lie and how its rows read.
+
+    ``stored_time`` is the time in the stored rows, ``time`` the one in the rows that ``rows``
+    makes of them.
+    """
+
+    name: str
+    table: str
+    keep: Callable[[Part], bool]
+    stored_time: Column
+    time: str
+    rows: Callable[[DataFrame], DataFrame] = lambda stored: stored
+
+
+def apply_retention(
+    book: Ledger, tables: list[Retained], as_of: str, days: int
+) -> tuple[Snapshot, DataFrame]:
+    """Drop what is older than the limit from all tables by one commit; deleted rows per table.
+
+    Whole days leave the manifest and no file is read for it. Only parts of the day that the
+    limit falls into can be rewritten. The counts read the parts that went away, which stay on
+    storage until the next vacuum but one.
+    """
+    cutoff = datetime.fromisoformat(as_of) - timedelta(days=days)
+    edge, limit = cutoff.strftime("%Y-%m-%d"), utc_literal(cutoff.isoformat(sep=" "))
+    before = book.snapshot()
+    gone: dict[str, dict[Part, tuple[str, ...]]] = {}
+    for held in tables:
+        dropped = book.drop_before(before, held.table, held.keep, limit, edge, held.stored_time)
+        gone.setdefault(held.table, {}).update(dropped)
+    after = book.commit(before, gone)
+    parts = []
+    for held in tables:
+        lost = book.read(before, held.table, lambda p, h=held: h.keep(p) and p in gone[h.table])
+        old = held.rows(lost).filter(F.col(held.time) < limit)
+        parts.append(
+            old.agg(F.count(F.lit(1)).alias("deleted_rows")).select(
+                F.lit(held.name).alias("table_name"), "deleted_rows"
+            )
+        )
+    return after, reduce(DataFrame.unionByName, parts)
+
+
+def survivors(book: Ledger, snapshot: Snapshot, tables: list[Retained]) -> Mapping[str, DataFrame]:
+    """Rows of each retained table in a snapshot."""
+    return {t.name: t.rows(book.read(snapshot, t.table, t.keep)) for t in tables}

@@ -78,6 +78,13 @@ def fct_interactions(staged: dict[str, DataFrame]) -> DataFrame:
     return stacked.select(*INTERACTION_COLUMNS)
 
 
+def lookback_bound(target: DataFrame, settings: Settings) -> Column:
+    """The time from which rows are read again: a little before the newest known one."""
+    newest = F.coalesce(F.max("occurred_at"), utc_literal("1970-01-01 00:00:00"))
+    lookback = F.make_dt_interval(hours=F.lit(settings.incremental_lookback_hours))
+    return target.agg((newest - lookback).alias("bound")).scalar()
+
+
 def incremental_interactions(
     target: DataFrame, interactions: DataFrame, settings: Settings
 ) -> DataFrame:
@@ -85,9 +92,7 @@ def incremental_interactions(
 
     The bound is a scalar subquery, so the scan of ``interactions`` filters on it.
     """
-    newest = F.coalesce(F.max("occurred_at"), utc_literal("1970-01-01 00:00:00"))
-    lookback = F.make_dt_interval(hours=F.lit(settings.incremental_lookback_hours))
-    bound = target.agg((newest - lookback).alias("bound")).scalar()
+    bound = lookback_bound(target, settings)
     return replace_by_key(
         target, interactions.filter(F.col("occurred_at") > bound), INTERACTION_KEY
     ).select(*INTERACTION_COLUMNS)

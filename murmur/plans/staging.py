@@ -23,13 +23,15 @@ def record_id():
 def staged(raw: DataFrame, entity: str) -> DataFrame:
     """``users`` and ``profile_updates`` have neither a surrogate id nor a date."""
     live = raw.filter(~F.col("is_deleted"))
+    # Filters on the date of a partitioned table reach its folders.
+    day = F.col("day") if "day" in raw.columns else F.to_date("occurred_at")
     columns = ENTITY_COLUMNS[entity]
     if entity not in ID_COLUMN:
         return live.select(*columns)
     return live.select(
         record_id().alias(ID_COLUMN[entity]),
         *columns,
-        F.to_date("occurred_at").alias("occurred_date"),
+        day.alias("occurred_date"),
     )
 
 

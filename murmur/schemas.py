@@ -101,6 +101,17 @@ RAW_STATE = T.StructType(
     + LINEAGE
 )
 
+# Current rows of the feed side, with their place in the feed.
+CURRENT_ROW = T.StructType(
+    [T.StructField("entity", T.StringType())]
+    + [
+        T.StructField(name, kind)
+        for name, kind in _TYPES.items()
+        if name not in ("first_seen_at", "last_seen_at")
+    ]
+    + [T.StructField("seq", T.LongType())]
+)
+
 _ARRIVAL = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())])
 
 # Kept state also knows when its values and its last change arrived, so that merging changes
@@ -109,6 +120,13 @@ STATE_ROW = T.StructType(
     [*RAW_STATE.fields, T.StructField("write_seq", _ARRIVAL), T.StructField("last_seq", _ARRIVAL)]
 )
 
+
+def placed(rows: T.StructType, *names: str) -> T.StructType:
+    """A schema with partition columns behind its own."""
+    kinds = {"day": T.DateType(), "bucket": T.IntegerType()}
+    own = [f for f in rows.fields if f.name not in names]
+    return T.StructType(own + [T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+
 # Typed fields stay strings inside JSON and are cast leniently afterwards, so
 # one bad field nulls that field only.
 PAYLOAD_JSON = T.StructType(

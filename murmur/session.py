@@ -14,6 +14,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # As everywhere in JSON, the last of several equal keys counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Keyed streaming state lives on disk beside the executor heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,8 +36,9 @@ def build_session(
 
 def use_utc(spark: SparkSession) -> None:
     """Casts between instants and zone-less timestamps follow the session zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key in ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys"):
+        if spark.conf.get(key) != ENGINE_CONF[key]:
+            spark.conf.set(key, ENGINE_CONF[key])
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -40,6 +40,8 @@ class Settings:
     retention_days: int = 7
     freshness_minutes: int = 1
     catch_up_margin_seconds: int = 15
+    catch_up_poll_seconds: int = 5
+    catch_up_limit_seconds: int = 300
 
     @property
     def watermark_delay(self) -> str:

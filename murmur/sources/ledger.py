@@ -38,17 +38,37 @@ class Snapshot:
     number: int = -1
     tables: Mapping[str, Mapping[Part, Runs]] = field(default_factory=dict)
     notes: Mapping[str, object] = field(default_factory=dict)
+    schemas: Mapping[str, T.StructType] = field(default_factory=dict)
 
     def parts(self, table: str) -> Mapping[Part, Runs]:
         return self.tables.get(table, {})
 
+    def changed(
+        self,
+        changes: Mapping[str, Mapping[Part, Runs]],
+        notes: Mapping[str, object],
+        schemas: Mapping[str, T.StructType],
+    ) -> "Snapshot":
+        """The next snapshot: some parts with other runs, parts without runs gone."""
+        tables = {name: dict(parts) for name, parts in self.tables.items()}
+        for name, parts in changes.items():
+            held = tables.setdefault(name, {})
+            for part, runs in parts.items():
+                if runs:
+                    held[part] = tuple(runs)
+                else:
+                    held.pop(part, None)
+        return Snapshot(
+            self.number + 1, tables, {**self.notes, **notes}, {**self.schemas, **schemas}
+        )
+
 
 @dataclass(frozen=True)
 class Layout:
-    """Partition columns of a table, in order, and its schema without them."""
+    """Partition columns of a table, in order; its whole schema, or that of the rows written."""
 
-    partition_by: tuple[str, ...]
-    schema: T.StructType
+    partition_by: tuple[str, ...] = ()
+    schema: T.StructType | None = None
 
     def place(self, column: str) -> int:
         return self.partition_by.index(column)
@@ -60,12 +80,13 @@ class Ledger:
         self.spark = store.spark
         self.layouts = dict(layouts)
         self._line = line
+        self._written: dict[str, T.StructType] = {}
 
     def fork(self, line: str) -> "Ledger":
         """A line of commits of its own over the same runs, beginning with the newest commit."""
         other = Ledger(self.store, self.layouts, line)
         base = self.snapshot()
-        other.commit(Snapshot(), base.tables, base.notes)
+        other.commit(Snapshot(schemas=base.schemas), base.tables, base.notes)
         return other
 
     def _root(self, table: str) -> str:
@@ -91,7 +112,12 @@ class Ledger:
             name: {tuple(part): tuple(runs) for part, runs in parts}
             for name, parts in held["tables"].items()
         }
-        return Snapshot(chosen, tables, held["notes"])
+        schemas = {name: T.StructType.fromJson(kind) for name, kind in held["schemas"].items()}
+        return Snapshot(chosen, tables, held["notes"], schemas)
+
+    def preview(self, base: Snapshot, changes: Mapping[str, Mapping[Part, Runs]]) -> Snapshot:
+        """What a commit of these changes would show."""
+        return base.changed(changes, {}, self._written)
 
     def commit(
         self,
@@ -100,22 +126,15 @@ class Ledger:
         notes: Mapping[str, object] | None = None,
     ) -> Snapshot:
         """``base`` with the runs of some parts replaced; a part without runs goes away."""
-        tables = {name: dict(parts) for name, parts in base.tables.items()}
-        for name, parts in changes.items():
-            held = tables.setdefault(name, {})
-            for part, runs in parts.items():
-                if runs:
-                    held[part] = tuple(runs)
-                else:
-                    held.pop(part, None)
-        after = Snapshot(base.number + 1, tables, {**base.notes, **(notes or {})})
+        after = base.changed(changes, notes or {}, self._written)
         text = json.dumps(
             {
                 "tables": {
                     name: sorted(([list(p), list(r)] for p, r in parts.items()), key=str)
-                    for name, parts in tables.items()
+                    for name, parts in after.tables.items()
                 },
                 "notes": dict(after.notes),
+                "schemas": {name: kind.jsonValue() for name, kind in after.schemas.items()},
             }
         )
         if not self.store.create_text(self._manifest(after.number), text):
@@ -129,8 +148,14 @@ class Ledger:
         layout, run = self.layouts[table], uuid4().hex
         # A folder of its own, so that writers that overlap do not clean up each other's files.
         target = f"{self._root(table)}/{_RUN}={run}"
-        columns = [*layout.schema.fieldNames(), *layout.partition_by]
-        rows.select(*columns).write.partitionBy(*layout.partition_by).parquet(target)
+        rows = rows.select(*layout.schema.fieldNames()) if layout.schema else rows
+        self._written[table] = rows.schema
+        if not layout.partition_by:
+            rows.write.parquet(target)
+            return {(): (run,)}
+        # Rows of a part come together, so that it gets few files; large parts are split again.
+        placed = rows.hint("rebalance", *[F.col(c) for c in layout.partition_by])
+        placed.write.partitionBy(*layout.partition_by).parquet(target)
         pattern = "/".join(f"{c}=*" for c in layout.partition_by)
         path, fs = self.store._path(f"{target}/{pattern}")
         found: dict[Part, Runs] = {}
@@ -148,9 +173,9 @@ class Ledger:
     ) -> DataFrame:
         """Rows of the chosen parts with their partition columns, by which filters prune folders."""
         layout = self.layouts[table]
-        whole = T.StructType(
-            [*layout.schema.fields, *[self._partition_field(c) for c in layout.partition_by]]
-        )
+        whole = layout.schema or snapshot.schemas.get(table)
+        if whole is None:
+            raise FileNotFoundError(f"no commit of {self.store.root} has a table {table}")
         root = self._root(table)
         folders = [
             f"{root}/{self._folder(layout, part, run)}"
@@ -163,11 +188,6 @@ class Ledger:
         reader = self.spark.read.schema(whole).option("basePath", root)
         return reader.parquet(*folders).select(*whole.fieldNames())
 
-    @staticmethod
-    def _partition_field(column: str) -> T.StructField:
-        kind = {"day": T.DateType(), "bucket": T.IntegerType()}.get(column, T.StringType())
-        return T.StructField(column, kind)
-
     @staticmethod
     def _folder(layout: Layout, part: Part, run: str) -> str:
         places = [f"{c}={_NO_VALUE if v is None else v}" for c, v in zip(layout.partition_by, part)]
@@ -188,6 +208,10 @@ class Ledger:
             raise ValueError(f"{table}: rows outside the touched parts {sorted(stray, key=str)[:3]}")
         return {part: written.get(part, ()) for part in touched}
 
+    def replace_all(self, snapshot: Snapshot, table: str, rows: DataFrame) -> dict[Part, Runs]:
+        """Runs of all parts after the whole table became ``rows``."""
+        return {part: () for part in snapshot.parts(table)} | self.write(table, rows)
+
     def append(self, snapshot: Snapshot, table: str, rows: DataFrame) -> dict[Part, Runs]:
         """Runs of the parts that get more rows."""
         held = snapshot.parts(table)
@@ -204,51 +228,51 @@ class Ledger:
     ) -> dict[Part, Runs]:
         """Rows of ``arrived`` merged into a table that has one row per key, touched parts only.
 
-        ``arrived`` is a written table with one row or several per key. A key always lies in one
-        value of the columns ``home``, so parts elsewhere are not searched for it. ``merge``
-        takes the held rows of the arrived keys and the arrived rows, and gives the new rows.
+        ``arrived`` is a written table with the partition columns of its rows. A key always lies
+        in one value of the columns ``home``, so parts elsewhere are not searched for it.
+        ``merge`` takes the held rows of the arrived keys and the arrived rows, and gives the
+        new rows, each in a part that one of those lies in.
         """
-        layout = self.layouts[table]
-        places = [layout.place(c) for c in home]
-        values = arrived.select(*[F.col(c).cast("string") for c in home]).distinct()
-        homes = {tuple(row) for row in values.collect()} if home else {()}
-        near = lambda part: tuple(part[i] for i in places) in homes
+        places = [self.layouts[table].place(c) for c in home]
+        reached = self.parts_of(table, arrived)
+        homes = {tuple(part[i] for i in places) for part in reached}
         same = reduce(
             lambda a, b: a & b, [F.col(f"held.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
         )
-        names = arrived.select(*keys).distinct().alias("new")
-        held = self.read(snapshot, table, near).alias("held")
-        old = held.join(names, same, "left_semi")
-        fresh = self.store.scratch(merge(old, arrived), f"{table}-fresh")
-        touched = self.parts_of(table, old) | self.parts_of(table, fresh)
-        kept = (
-            self.read(snapshot, table, lambda part: part in touched)
-            .alias("held")
-            .join(names, same, "left_anti")
-        )
-        return self.replace(table, kept.unionByName(fresh.select(*kept.columns)), touched)
+        names = arrived.select(*keys).alias("new")
+        near = self.read(snapshot, table, lambda part: tuple(part[i] for i in places) in homes)
+        old = near.alias("held").join(names, same, "left_semi")
+        touched = reached | (self.parts_of(table, old) if snapshot.parts(table) else set())
+        held = self.read(snapshot, table, lambda part: part in touched).alias("held")
+        kept = held.join(names, same, "left_anti")
+        fresh = merge(old, arrived).select(*kept.columns)
+        return self.replace(table, kept.unionByName(fresh), touched)
 
     # -------------------------------------------------------------- lifecycle
 
     def drop_before(
-        self, snapshot: Snapshot, table: str, cutoff: Column, last_whole_day: str, time_column: str
+        self,
+        snapshot: Snapshot,
+        table: str,
+        keep: Callable[[Part], bool],
+        limit: Column,
+        edge_day: str,
+        time: Column,
     ) -> dict[Part, Runs]:
-        """Parts of days before ``last_whole_day`` go away; of that day, rows before ``cutoff``.
+        """Of the parts that ``keep`` chooses, those of days before ``edge_day`` go away.
 
-        Only the parts of that one day are ever rewritten, and only if some of their rows are
-        too old. Parts without a day stay.
+        Of that day itself, rows with a time before ``limit``: parts are rewritten only if they
+        have any. Parts without a day stay.
         """
         at = self.layouts[table].place("day")
-        parts = snapshot.parts(table)
-        gone = {part: () for part in parts if part[at] is not None and part[at] < last_whole_day}
-        edge = [part for part in parts if part[at] == last_whole_day]
-        if edge:
-            rows = self.read(snapshot, table, lambda part: part in edge)
-            old = F.coalesce(F.col(time_column) < cutoff, F.lit(False))
-            aged = self.parts_of(table, rows.filter(old))
-            if aged:
-                kept = self.read(snapshot, table, lambda part: part in aged).filter(~old)
-                gone |= self.replace(table, kept, aged)
+        chosen = [part for part in snapshot.parts(table) if keep(part) and part[at] is not None]
+        gone: dict[Part, Runs] = {part: () for part in chosen if part[at] < edge_day}
+        edge = {part for part in chosen if part[at] == edge_day}
+        old = F.coalesce(time < limit, F.lit(False))
+        aged = self.parts_of(table, self.read(snapshot, table, edge.__contains__).filter(old)) if edge else set()
+        if aged:
+            kept = self.read(snapshot, table, aged.__contains__).filter(~old)
+            gone |= self.replace(table, kept, aged)
         return gone
 
     def vacuum(self, keep: int = 2) -> int:

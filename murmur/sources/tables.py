@@ -6,15 +6,33 @@ reader never sees half a table and a failed job leaves the old version in place.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from murmur.session import shared_folder
 
 
+_Result = TypeVar("_Result")
+
+
+def together(
+    spark: SparkSession, work: Mapping[str, Callable[[], _Result]], at_once: int = 4
+) -> dict[str, _Result]:
+    """Run a few Spark jobs side by side; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in work.items()
+        }
+    return {name: job.result() for name, job in running.items()}
+
+
 class CommitRefused(RuntimeError):
     """Another writer has taken the number first."""
 

@@ -26,10 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from murmur.functions.times import day_of_millis, millis_to_utc
 from murmur.operators import changes, keyed_state, minute_rollups
-from murmur.schemas import KEY_COLUMNS, STATE_ROW
+from murmur.schemas import KEY_COLUMNS, STATE_ROW, placed
 from murmur.settings import Settings
 from murmur.sources.ledger import Layout, Ledger, Part, Runs, Snapshot
-from murmur.sources.tables import TableStore
+from murmur.sources.tables import TableStore, together
 
 CHANGES, QUARANTINE = "changes", "quarantine"
 PARTIALS, BATCHES = "rollup_partials", "stream_batches"
@@ -65,14 +65,12 @@ _COUNTS = T.StructType(
         T.StructField("n", T.LongType()),
     ]
 )
+_HOME = ("entity", "day", "bucket")
 LAYOUTS = {
-    STATE: Layout(
-        ("entity", "day", "bucket"),
-        T.StructType([f for f in STATE_ROW.fields if f.name != "entity"]),
-    ),
-    ROLLUPS: Layout(("metric", "day"), _COUNTS),
-    QUARANTINE: Layout(("day",), _REJECTED),
-    BATCHES: Layout(("day",), BATCH_STATS),
+    STATE: Layout(_HOME, placed(STATE_ROW, *_HOME)),
+    ROLLUPS: Layout(("metric", "day"), placed(_COUNTS, "metric", "day")),
+    QUARANTINE: Layout(("day",), placed(_REJECTED, "day")),
+    BATCHES: Layout(("day",), placed(BATCH_STATS, "day")),
 }
 
 
@@ -110,9 +108,16 @@ def process_batch(
         ingested_at = millis_to_utc(F.lit(now_ms).cast("long"))
         activity = minute_rollups.activity_changes(valid, now_ms)
         rejected = changes.quarantined_changes(validated).withColumn("quarantined_at", ingested_at)
+        # The first sink fills the cache and the figures, the others read them side by side.
         store.append_batch(CHANGES, keyed_state.change_log(valid, ingested_at), batch_id)
-        store.append_batch(QUARANTINE, rejected, batch_id)
-        store.append_batch(PARTIALS, minute_rollups.rollup_partials(activity), batch_id)
+        partials = minute_rollups.rollup_partials(activity)
+        together(
+            store.spark,
+            {
+                QUARANTINE: lambda: store.append_batch(QUARANTINE, rejected, batch_id),
+                PARTIALS: lambda: store.append_batch(PARTIALS, partials, batch_id),
+            },
+        )
     finally:
         validated.unpersist()
     figures = observed.get
@@ -167,16 +172,9 @@ def _pending(store: TableStore, name: str, after: int, through: int | None = Non
     return rows if through is None else rows.filter(F.col("batch_id") <= through)
 
 
-def _merged_state(settings: Settings) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    def merge(held: DataFrame, arrived: DataFrame) -> DataFrame:
-        return with_home(keyed_state.merge_state(held, arrived), settings)
-
-    return merge
-
-
-def with_home(state: DataFrame, settings: Settings) -> DataFrame:
-    """Adds the partition columns of the state."""
-    return keyed_state.with_bucket(state, settings.state_buckets).withColumn(
+def with_home(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Adds the partition columns of the state; a delete names no day of its own."""
+    return keyed_state.with_bucket(rows, settings.state_buckets).withColumn(
         "day", F.to_date("occurred_at")
     )
 
@@ -189,11 +187,8 @@ def _folded_counts(
     book: Ledger, snapshot: Snapshot, arrived: DataFrame, settings: Settings, open_from: str
 ) -> dict[Part, Runs]:
     """Counts of the new batches behind those of their days; full or closing days become one run."""
-    fresh = book.append(
-        snapshot,
-        ROLLUPS,
-        minute_rollups.merged_partials(arrived).withColumn("day", _day_of_counts()),
-    )
+    added = minute_rollups.merged_partials(arrived.drop("batch_id"))
+    fresh = book.append(snapshot, ROLLUPS, added.withColumn("day", _day_of_counts()))
     sealed_before = str(snapshot.notes.get(_SEALED, ""))
     day = LAYOUTS[ROLLUPS].place("day")
     after = {**snapshot.parts(ROLLUPS), **fresh}
@@ -205,8 +200,8 @@ def _folded_counts(
     }
     if not crowded:
         return fresh
-    whole = Snapshot(snapshot.number, {ROLLUPS: after})
-    merged = minute_rollups.merged_partials(book.read(whole, ROLLUPS, lambda p: p in crowded))
+    whole = book.preview(snapshot, {ROLLUPS: fresh})
+    merged = minute_rollups.merged_partials(book.read(whole, ROLLUPS, crowded.__contains__))
     return fresh | book.replace(ROLLUPS, merged.withColumn("day", _day_of_counts()), crowded)
 
 
@@ -224,21 +219,33 @@ def fold(
     snapshot = book.snapshot()
     covered = _covered(snapshot)
     open_from = str(millis_to_day(clock() - settings.max_age_ms))
-    moved: dict[str, dict[Part, Runs]] = {}
-    log = _pending(store, CHANGES, covered, through)
-    if log is not None:
-        arrived = keyed_state.compact_changes(log.drop("batch_id"))
-        arrived = store.scratch(keyed_state.with_bucket(arrived, settings.state_buckets), "fold-changes")
-        moved[STATE] = book.upsert(
-            snapshot, STATE, arrived, KEY_COLUMNS, _merged_state(settings), home=("entity", "bucket")
+
+    def state(log: DataFrame) -> dict[Part, Runs]:
+        arrived = with_home(keyed_state.compact_changes(log.drop("batch_id")), settings)
+        return book.upsert(
+            snapshot, STATE, store.scratch(arrived, "fold-changes"), KEY_COLUMNS,
+            lambda held, new: with_home(keyed_state.merge_state(held, new), settings),
+            home=("entity", "bucket"),
         )
-    counts = _pending(store, PARTIALS, covered, through)
-    if counts is not None:
-        moved[ROLLUPS] = _folded_counts(book, snapshot, counts.drop("batch_id"), settings, open_from)
-    for name, stamp in ((QUARANTINE, "quarantined_at"), (BATCHES, "created_at")):
-        rows = _pending(store, name, covered, through)
-        if rows is not None:
-            moved[name] = book.append(snapshot, name, rows.withColumn("day", F.to_date(stamp)))
+
+    def appended(name: str, stamp: str) -> Callable[[DataFrame], dict[Part, Runs]]:
+        return lambda rows: book.append(snapshot, name, rows.withColumn("day", F.to_date(stamp)))
+
+    work = {
+        STATE: (CHANGES, state),
+        ROLLUPS: (PARTIALS, lambda rows: _folded_counts(book, snapshot, rows, settings, open_from)),
+        QUARANTINE: (QUARANTINE, appended(QUARANTINE, "quarantined_at")),
+        BATCHES: (BATCHES, appended(BATCHES, "created_at")),
+    }
+    pending = {name: _pending(store, source, covered, through) for name, (source, _) in work.items()}
+    moved = together(
+        store.spark,
+        {
+            name: lambda build=work[name][1], rows=rows: build(rows)
+            for name, rows in pending.items()
+            if rows is not None
+        },
+    )
     sealed = max(open_from, str(snapshot.notes.get(_SEALED, "")))
     after = book.commit(snapshot, moved, {_THROUGH: max(through, covered), _SEALED: sealed})
     book.vacuum()
@@ -247,6 +254,15 @@ def fold(
     return after
 
 
+def fold_all(
+    store: TableStore, settings: Settings, clock: Callable[[], int] = wall_clock_ms
+) -> Snapshot:
+    """Fold what waits behind the last commit, if anything does."""
+    snapshot = ledger(store).snapshot()
+    newest = max(store.batch_ids(CHANGES), default=-1)
+    return fold(store, newest, settings, clock) if newest > _covered(snapshot) else snapshot
+
+
 def millis_to_day(millis: int) -> str:
     return time.strftime("%Y-%m-%d", time.gmtime(millis // 1000))
 

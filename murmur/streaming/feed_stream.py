@@ -1,16 +1,55 @@
-"""Micro-batch job: activity feed to entity rows, user spans and a high-water mark."""
+"""Micro-batch job: activity feed to current entity rows, user spans and a high-water mark.
+
+As in the change job, batches are folders of their own and ``fold`` moves them into
+partitioned tables by one commit: current rows into the parts (entity, day, bucket) that a
+changed key lies in, spans and rejected rows behind those already there. The largest event
+time taken in is a note of the commit.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from murmur.operators import feed_events, keyed_state
+from murmur.schemas import CURRENT_ROW, KEY_COLUMNS, placed
 from murmur.settings import Settings
-from murmur.sources.tables import TableStore
+from murmur.sources.ledger import Layout, Ledger, Part, Runs, Snapshot
+from murmur.sources.tables import TableStore, together
+
+EVENTS, SEEN, REJECTED = "entity_events", "seen_events", "rejected_events"
+_BATCHED = (EVENTS, SEEN, REJECTED)
+CURRENT, SPANS = "current", "spans"
+_THROUGH, _HIGH_WATER = "through_batch", "last_time_us"
 
-EVENTS, REJECTED = "entity_events", "rejected_events"
+_SPAN = T.StructType(
+    [
+        T.StructField("user_id_hash", T.StringType()),
+        T.StructField("first_seen_at", T.TimestampNTZType()),
+        T.StructField("last_seen_at", T.TimestampNTZType()),
+        T.StructField("first_seq", T.LongType()),
+        T.StructField("last_seq", T.LongType()),
+    ]
+)
+_REJECTED_ROW = T.StructType(
+    [
+        T.StructField("seq", T.LongType()),
+        T.StructField("entity", T.StringType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("user_id_hash", T.StringType()),
+        T.StructField("record_key", T.StringType()),
+        T.StructField("occurred_at", T.TimestampNTZType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+_HOME = ("entity", "day", "bucket")
+LAYOUTS = {
+    CURRENT: Layout(_HOME, placed(CURRENT_ROW, *_HOME)),
+    SPANS: Layout(("bucket",), placed(_SPAN, "bucket")),
+    REJECTED: Layout(("day",), placed(_REJECTED_ROW, "day")),
+}
 
 
 def process_batch(
@@ -18,11 +57,19 @@ def process_batch(
 ) -> None:
     parsed = feed_events.parse_events(feed)
     events = feed_events.entity_events(parsed, settings.salt, settings.sampling_rate).persist()
+    # Rejected rows count as taken in.
+    seen = keyed_state.spans(events, F.max("time_us").alias("time_us"))
     try:
-        store.append_batch(
-            EVENTS, feed_events.writable_events(events), batch_id, partition_by=("entity",)
+        store.append_batch(EVENTS, feed_events.writable_events(events), batch_id)
+        together(
+            store.spark,
+            {
+                SEEN: lambda: store.append_batch(SEEN, seen, batch_id),
+                REJECTED: lambda: store.append_batch(
+                    REJECTED, feed_events.rejected_events(events), batch_id
+                ),
+            },
         )
-        store.append_batch(REJECTED, feed_events.rejected_events(events), batch_id)
     finally:
         events.unpersist()
 
@@ -36,6 +83,8 @@ def start(
 ) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, store, settings)
+        if (batch_id + 1) % settings.fold_every == 0:
+            fold(store, batch_id, settings)
 
     writer = feed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
@@ -43,13 +92,120 @@ def start(
     return writer.trigger(processingTime=settings.trigger_interval).start()
 
 
+def ledger(store: TableStore) -> Ledger:
+    return Ledger(store, LAYOUTS)
+
+
+def _covered(snapshot: Snapshot) -> int:
+    return int(snapshot.notes.get(_THROUGH, -1))
+
+
+def _pending(store: TableStore, name: str, after: int, through: int | None = None) -> DataFrame | None:
+    if not any(n > after for n in store.batch_ids(name)):
+        return None
+    rows = store.read_batches(name).filter(F.col("batch_id") > after)
+    return (rows if through is None else rows.filter(F.col("batch_id") <= through)).drop("batch_id")
+
+
+def _with_home(rows: DataFrame, settings: Settings) -> DataFrame:
+    return keyed_state.with_bucket(rows, settings.state_buckets).withColumn(
+        "day", F.to_date("occurred_at")
+    )
+
+
+def fold(store: TableStore, through: int, settings: Settings) -> Snapshot:
+    """Move all batches up to ``through``, the last finished one, into the tables, by one commit."""
+    book = ledger(store)
+    snapshot = book.snapshot()
+    covered = _covered(snapshot)
+
+    def current(events: DataFrame) -> dict[Part, Runs]:
+        arrived = store.scratch(_with_home(keyed_state.last_events(events), settings), "fold-events")
+        return book.upsert(
+            snapshot, CURRENT, arrived, KEY_COLUMNS,
+            lambda held, new: _with_home(
+                keyed_state.written_events(keyed_state.last_events(held.unionByName(new))), settings
+            ),
+            home=("entity", "bucket"),
+        )
+
+    def spans(seen: DataFrame) -> dict[Part, Runs]:
+        merged = keyed_state.with_bucket(keyed_state.merged_spans(seen), settings.state_buckets)
+        after = book.append(snapshot, SPANS, merged)
+        crowded = {part for part, runs in after.items() if len(runs) > settings.most_runs}
+        if crowded:
+            whole = book.preview(snapshot, {SPANS: after})
+            rows = keyed_state.merged_spans(book.read(whole, SPANS, crowded.__contains__))
+            after |= book.replace(SPANS, keyed_state.with_bucket(rows, settings.state_buckets), crowded)
+        return after
+
+    work = {
+        CURRENT: (EVENTS, current),
+        SPANS: (SEEN, spans),
+        REJECTED: (
+            REJECTED,
+            lambda rows: book.append(snapshot, REJECTED, rows.withColumn("day", F.to_date("occurred_at"))),
+        ),
+    }
+    pending = {name: _pending(store, source, covered, through) for name, (source, _) in work.items()}
+    jobs = {
+        name: lambda build=work[name][1], rows=rows: build(rows)
+        for name, rows in pending.items()
+        if rows is not None
+    }
+    moved = together(store.spark, jobs)
+    newest = read_high_water(store, through).first()[0]
+    after = book.commit(snapshot, moved, {_THROUGH: max(through, covered), _HIGH_WATER: newest})
+    book.vacuum()
+    for name in _BATCHED:
+        store.drop_batches(name, covered)
+    return after
+
+
+def fold_all(store: TableStore, settings: Settings) -> Snapshot:
+    """Fold what waits behind the last commit, if anything does."""
+    snapshot = ledger(store).snapshot()
+    newest = max(store.batch_ids(EVENTS), default=-1)
+    return fold(store, newest, settings) if newest > _covered(snapshot) else snapshot
+
+
 def read_current(store: TableStore) -> DataFrame:
-    return keyed_state.current_entities(store.read_batches(EVENTS).drop("batch_id"))
+    """Current rows; no shuffle unless batches wait behind the last commit."""
+    book = ledger(store)
+    snapshot = book.snapshot()
+    held = book.read(snapshot, CURRENT)
+    later = _pending(store, EVENTS, _covered(snapshot))
+    if later is not None:
+        events = held.select(*CURRENT_ROW.fieldNames()).unionByName(later.select(*CURRENT_ROW.fieldNames()))
+        held = keyed_state.written_events(keyed_state.last_events(events))
+    return held.select(*[c for c in CURRENT_ROW.fieldNames() if c != "seq"])
 
 
 def read_users(store: TableStore) -> DataFrame:
-    return keyed_state.users_seen(store.read_batches(EVENTS))
+    book = ledger(store)
+    snapshot = book.snapshot()
+    held = book.read(snapshot, SPANS).drop("bucket")
+    later = _pending(store, SEEN, _covered(snapshot))
+    if later is not None:
+        held = held.unionByName(later.select(*held.columns))
+    return keyed_state.merged_spans(held).drop("first_seq", "last_seq")
+
+
+def read_rejected(store: TableStore) -> DataFrame:
+    book = ledger(store)
+    snapshot = book.snapshot()
+    held = book.read(snapshot, REJECTED).drop("day")
+    later = _pending(store, REJECTED, _covered(snapshot))
+    return held if later is None else held.unionByName(later.select(*held.columns))
 
 
-def read_high_water(store: TableStore) -> DataFrame:
-    return store.read_batches(EVENTS).agg(F.max("time_us").alias("last_time_us"))
+def read_high_water(store: TableStore, through: int | None = None) -> DataFrame:
+    """The commit's note and the events behind it."""
+    snapshot = ledger(store).snapshot()
+    noted = store.spark.range(1).select(
+        F.lit(snapshot.notes.get(_HIGH_WATER)).cast("long").alias("last_time_us")
+    )
+    later = _pending(store, SEEN, _covered(snapshot), through)
+    if later is not None:
+        noted = noted.unionByName(keyed_state.high_water(later))
+    return noted.agg(F.max("last_time_us").alias("last_time_us"))

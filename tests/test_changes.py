@@ -50,7 +50,8 @@ def test_delete_and_unknown_topic(spark):
 @pytest.mark.parametrize(
     "value",
     ["not-json", "null", "[]", "5", '{"op":"c"', '{"op":"c"} tail', '[{"op":"c"}]',
-     '{"op":"c","source":"x"}'],
+     '{"op":"c","source":"x"}', '{"op":"c","source":"{bad"}', '{"op":"c","source":"{\\"ts_ms\\":1}"}',
+     '{"op":"c"}],[{"op":"u"}', '{"op":"c"},{"op":"u"}', '{"op":"c"}]', '{"op":"c","source":[1]}', '{"op":"c"}{"op":"u"}'],
 )
 def test_broken_values_are_unparseable(spark, value):
     [row] = parse(spark, raw(value)).collect()
