@@ -91,7 +91,7 @@ FROM p
 
 _GONE = "operation = 'delete'"
 _cte("fe", ("s", "f"), f"""
-SELECT s.* REPLACE (CASE WHEN NOT lost THEN target_did END AS target_did), lost AND NOT {_GONE} AS lost,
+SELECT s.* EXCLUDE (lost) REPLACE (CASE WHEN NOT lost THEN target_did END AS target_did), lost AND NOT {_GONE} AS lost,
   (epoch_us(s.occurred_at))::BIGINT AS time_us,
   CASE WHEN target_did IS NOT NULL AND NOT lost THEN sha256('{SALT}:' || target_did) END AS th,
   CAST(('0x' || substr(uh, 1, 8)) AS BIGINT) / 4294967295.0::DOUBLE AS bucket,

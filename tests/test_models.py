@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from murmur.functions.times import utc_literal
 from murmur.operators import checks, retention
-from murmur.plans import daily_report, intermediate, marts, serving, staging
+from murmur.plans import daily_report, intermediate, marts, registry, serving, staging
 from murmur.schemas import raw_schema
 from murmur.settings import Settings
+from murmur.sources.ledger import Layout, Ledger
+from murmur.sources.tables import CommitRefused
 
 SETTINGS = Settings(salt="s")
 DAY = "2024-01-15"
@@ -202,13 +204,167 @@ def test_daily_run_publishes_once_and_replaces(spark, raw, store):
     assert {str(r.report_date): r.total_posts for r in published} == {DAY: 3, "2024-01-16": 1}
     assert len(published) == 2
     assert daily_report.read_run_log(store).filter("status = 'success'").count() == 18
-    segments = serving.segment_distribution(store.read("dim_user")).collect()
+    segments = serving.segment_distribution(daily_report.read(store, "dim_user")).collect()
     assert {r.segment: r.users for r in segments} == {"engager": 1, "lurker": 3}
-    store.vacuum("fct_posts", keep=1)
-    assert len(store.versions("fct_posts")) == 1
-    emptied = daily_report.reset(store)
-    assert "fct_posts" in emptied and store.read("fct_posts").count() == 0
-    assert store.read("dim_date").count() == 2557
+    assert len(daily_report.ledger(store).numbers()) == 2, "older commits are gone"
+    book = daily_report.ledger(store)
+    emptied = registry.reset(book, registry.DAILY)
+    assert set(emptied) == {"snapshots.dim_user_snapshot", *(f"marts.{m}" for m in registry.MODELS)}
+    assert daily_report.read(store, "fct_posts").count() == 0
+    assert daily_report.read(store, "dim_user").columns == daily_report.read(store, "dim_user_snapshot").drop("scd_id").columns + ["is_current"]
+    assert daily_report.read(store, "dim_date").count() == 2557
+    assert registry.reset(book, registry.DAILY) == [], "a reset can run again"
+
+
+def test_registry_derives_reset_and_retention():
+    tables = {t.name: t for t in registry.all_tables()}
+    assert len(tables) == 33 and sum(t.reset for t in tables.values()) == 30
+    assert {n for n, t in tables.items() if not t.reset} == {
+        "marts.dim_date", "marts.mart_daily_summary", "marts.pipeline_runs"}
+    aged = {t.name for t in registry.retained_tables(registry.CHANGES)}
+    assert len(aged) == 12 and "raw.users" not in aged
+    assert len(registry.retained_tables(registry.FEED)) == 6
+    assert registry.retained_tables(registry.DAILY) == []
+
+
+def runs(store, table):
+    return dict(daily_report.ledger(store).snapshot().parts(table))
+
+
+def test_history_appends_closed_versions_and_replaces_the_open_part(spark, raw, store):
+    def run(tables, at):
+        daily_report.run_models(spark, store, tables, at, SETTINGS)
+
+    def with_posts(user, n):
+        more = raw_tables(spark, posts=[post(user, f"n{i}") for i in range(n)])["posts"]
+        return {**raw, "posts": raw["posts"].unionByName(more)}
+
+    run(raw, "2024-01-17 00:00:00")
+    first = runs(store, "dim_user_snapshot")
+    assert set(first) == {(None,)}
+    run(with_posts("b", 5), "2024-01-18 00:00:00")
+    second = runs(store, "dim_user_snapshot")
+    assert set(second) == {(None,), ("2024-01",)} and second[None,] != first[None,]
+    run(with_posts("d", 5), "2024-02-02 00:00:00")
+    third = runs(store, "dim_user_snapshot")
+    assert third["2024-01",] == second["2024-01",], "closed months are not written again"
+    assert set(third) == {(None,), ("2024-01",), ("2024-02",)}
+    whole = daily_report.read(store, "dim_user_snapshot")
+    versions = sorted((r.user_id_hash, r.segment, r.valid_to is None) for r in whole.collect())
+    assert versions == sorted([
+        ("a", "lurker", True), ("c", "engager", True), ("b", "lurker", False), ("b", "creator", False),
+        ("b", "lurker", True), ("d", "lurker", False), ("d", "creator", True)])
+    users = daily_report.read(store, "dim_user")
+    assert users.count() == 7 and users.filter("is_current").count() == 4
+
+
+def test_of_two_overlapping_runs_one_is_refused(spark, raw, store, monkeypatch):
+    """A run that ends while another is at work leaves history with one writer's rows."""
+    inner = daily_report.snapshot_changes
+
+    def slow(book, base, current, run_at):
+        if run_at == "2024-01-17 00:00:00":
+            with monkeypatch.context() as patch:
+                patch.setattr(daily_report, "snapshot_changes", inner)
+                daily_report.run_models(spark, store, raw, "2024-01-17 00:00:03", SETTINGS)
+        return inner(book, base, current, run_at)
+
+    monkeypatch.setattr(daily_report, "snapshot_changes", slow)
+    with pytest.raises(CommitRefused):
+        daily_report.run_models(spark, store, raw, "2024-01-17 00:00:00", SETTINGS)
+    monkeypatch.undo()
+    history = daily_report.read(store, "dim_user_snapshot")
+    assert checks.users_with_many_current_rows(daily_report.read(store, "dim_user")).count() == 0
+    assert {str(r.valid_from) for r in history.collect()} == {"2024-01-17 00:00:03"}
+
+
+def test_interactions_are_replaced_by_touched_days(spark, store, staged):
+    book = daily_report.ledger(store)
+
+    def run(rows):
+        base = book.snapshot()
+        book.commit(base, {"fct_interactions": daily_report.interaction_changes(book, base, rows, SETTINGS)})
+        return runs(store, "fct_interactions")
+
+    old = [like("o", f"k{i}", at=datetime(2024, 1, day, 9)) for i, day in enumerate(range(1, 9))]
+    everything = marts.fct_interactions(staged)
+    before = run(everything.unionByName(marts.fct_interactions(staging.stage_all(raw_tables(spark, likes=old)))))
+    assert len(before) == 10
+    moved = staging.stage_all(raw_tables(
+        spark, likes=[like("o", "k3", "z", "p9", datetime(2024, 1, 16, 11)),
+                      like("n", "new", at=datetime(2024, 1, 17, 1))]))
+    after = run(marts.fct_interactions(moved))
+    changed = {p[0] for p in set(before) | set(after) if before.get(p) != after.get(p)}
+    assert changed == {"2024-01-04", "2024-01-16", "2024-01-17"}
+    rows = daily_report.read(store, "fct_interactions")
+    assert rows.filter("record_key = 'k3'").first().target_user_id_hash == "z"
+    assert rows.count() == everything.count() + 8 + 1
+    plan = rows.filter("user_id_hash = 'n'")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_run_stops_where_the_stream_has_not_caught_up(spark, raw, store):
+    asked = []
+    impatient = Settings(salt="s", catch_up_limit_seconds=0)
+    with pytest.raises(checks.QualityFailure, match="caught up"):
+        daily_report.run_daily(
+            spark, store, raw, DAY, "2024-01-17 00:00:00", impatient,
+            caught_up=lambda: asked.append(1) or False)
+    log = {r.task: r.status for r in daily_report.read_run_log(store).collect()}
+    assert log == {"load_raw_partition": "failed"} and asked == [1]
+    pauses = []
+    answers = iter([False, False, True])
+    daily_report.wait_until(lambda: next(answers), SETTINGS, pauses.append)
+    assert pauses == [5, 5]
+    with pytest.raises(checks.QualityFailure):
+        daily_report.wait_until(lambda: False, SETTINGS, pauses.append)
+    assert len(pauses) == 2 + 60
+
+
+RULES = {"t": Layout(("day",))}
+
+
+def test_retention_drops_parts_and_leaves_kept_files_alone(spark, store):
+    book = Ledger(store, RULES)
+    rows = spark.createDataFrame(
+        [(i, datetime(2024, 1, 1 + i, 12)) for i in range(10)] + [(99, None)], "n int, at timestamp_ntz")
+    base = book.snapshot()
+    book.commit(base, {"t": book.replace_all(base, "t", rows.withColumn("day", F.to_date("at")))})
+    before = book.snapshot()
+    held = retention.Retained("x.t", "t", lambda part: True, F.col("at"), "at")
+
+    def kept(snapshot):
+        return sorted(r.n for r in book.read(snapshot, "t").collect())
+
+    after, deleted = retention.apply_retention(book, [held], "2024-01-11 00:00:00", 7)
+    assert kept(after) == [3, 4, 5, 6, 7, 8, 9, 99]
+    assert [(r.table_name, r.deleted_rows) for r in deleted.collect()] == [("x.t", 3)]
+    assert all(before.parts("t")[part] == run for part, run in after.parts("t").items())
+    # A limit within a day rewrites that day only, and only if it holds older rows.
+    half, deleted = retention.apply_retention(book, [held], "2024-01-11 18:00:00", 7)
+    assert kept(half) == [4, 5, 6, 7, 8, 9, 99] and deleted.first().deleted_rows == 1
+    early, _ = retention.apply_retention(book, [held], "2024-01-12 06:00:00", 7)
+    assert dict(early.parts("t")) == {p: r for p, r in after.parts("t").items() if p != ("2024-01-04",)}
+    assert kept(before) == list(range(10)) + [99], "readers of the commit before still see it"
+    assert book.vacuum(keep=1) > 0 and kept(book.snapshot()) == [4, 5, 6, 7, 8, 9, 99]
+
+
+def test_ledger_prunes_folders_and_keeps_schemas(spark, store):
+    book = Ledger(store, RULES)
+    with pytest.raises(FileNotFoundError):
+        book.read(book.snapshot(), "t")
+    rows = spark.range(6).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")))
+    base = book.snapshot()
+    book.commit(base, {"t": book.replace_all(base, "t", rows)})
+    found = Ledger(store, RULES)
+    table = found.read(found.snapshot(), "t")
+    assert table.schema["day"].dataType.simpleString() == "date"
+    plan = table.filter("day = date'2024-01-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert table.filter("day = date'2024-01-03'").count() == 1
+    found.commit(found.snapshot(), {"t": {part: () for part in found.snapshot().parts("t")}})
+    assert found.read(found.snapshot(), "t").count() == 0
+    assert found.read(found.snapshot(), "t").columns == ["id", "day"]
 
 
 def test_failed_gate_publishes_nothing(spark, raw, store):
@@ -234,3 +390,12 @@ def test_table_store_versions(spark, store):
     held = store.read("t")
     store.write("t", held.union(held))
     assert (held.count(), store.read("t").count(), store.read("t", version=0).count()) == (3, 6, 3)
+
+
+def test_of_two_writers_of_one_version_one_is_refused(spark, store):
+    store.write("t", spark.range(3))
+    store.claim("t", 1)
+    with pytest.raises(CommitRefused):
+        store.claim("t", 1)
+    assert store.write("t", spark.range(4)) == 2, "a claim that broke off is skipped"
+    assert store.read("t").count() == 4
