@@ -153,7 +153,7 @@ def entity_current(w: Workspace) -> DataFrame:
 
 @query
 def users_seen(w: Workspace) -> DataFrame:
-    return keyed_state.users_seen(w.entity_events(1.0))
+    return keyed_state.users_seen(feed_events.writable_events(w.entity_events(1.0)))
 
 
 @query
@@ -187,6 +187,29 @@ def redelivery(w: Workspace) -> DataFrame:
     return valid.groupBy("entity", "op").agg(F.count(F.lit(1)).alias("changes"))
 
 
+@query
+def stream_redelivery(w: Workspace) -> DataFrame:
+    """A stream in which the first third of the messages is delivered a second time."""
+    store = w.scratch_store("redelivery")
+    whole = w.messages()
+    cut = whole.agg((F.max("offset") / 3).alias("cut")).scalar()
+    for part in (whole, whole.filter(F.col("offset") <= cut)):
+        part.repartition(mapping.CHUNK_FILES).write.mode("append").parquet(store.location("landed"))
+    messages = streams.file_changes(w.spark, store.location("landed"), mapping.CHUNK_FILES)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        parsed = changes.parse_changes(batch, w.settings)
+        valid = changes.valid_changes(changes.validate_changes(parsed, w.settings, AS_OF_MS))
+        store.append_batch("valid", valid.select("entity", "op"), batch_id)
+
+    once = streams.without_redelivered(messages, "1 hour")
+    checkpoint = store.location("checkpoint")
+    once.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return store.read_batches("valid").groupBy("entity", "op").agg(F.count(F.lit(1)).alias("changes"))
+
+
 @query
 def merge_additive(w: Workspace) -> DataFrame:
     """Partial event counts of two halves added up per bucket."""
@@ -561,7 +584,7 @@ def stream_batches(w: Workspace) -> DataFrame:
 
 def _windowed(w: Workspace, build: Callable[[DataFrame], DataFrame], keys: list[str], value: str):
     store = w.scratch_store("windowed")
-    activity = windowed.watermarked_activity(w.message_stream(), w.settings, AS_OF_MS)
+    activity = windowed.watermarked_activity(w.message_stream(), w.settings, F.lit(AS_OF_MS))
     windowed.start_updates(
         build(activity), store, "updates", store.location("checkpoint"), available_now=True
     ).awaitTermination()

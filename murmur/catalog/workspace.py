@@ -42,7 +42,6 @@ class Workspace:
         self.settings = mapping.SETTINGS
         self._landed = False
         self._history_built = False
-        self._raw: DataFrame | None = None
         self.fed: TableStore | None = None
         self.drained: TableStore | None = None
         self.reported: TableStore | None = None
@@ -150,16 +149,13 @@ class Workspace:
         )
         self.store.write("raw", rows, ("entity", "day"))
 
-    def _raw_rows(self) -> DataFrame:
-        self._once("raw", self._build_raw)
-        if self._raw is None:
-            # One listing of the folders for all entities.
-            self._raw = self.store.read("raw", placed(RAW_STATE, "entity", "day"))
-        return self._raw
-
     def raw(self, entity: str) -> DataFrame:
         """Rows of one entity; filters on ``day`` prune folders."""
-        rows = self._raw_rows().filter(F.col("entity") == entity)
+        self._once("raw", self._build_raw)
+        schema, within = placed(RAW_STATE, "entity", "day"), f"entity={entity}"
+        if not self.store.holds("raw", within):
+            return self.spark.createDataFrame([], schema).select(*raw_schema(entity).fieldNames(), "day")
+        rows = self.store.read("raw", schema, within=within)
         return rows.select(*raw_schema(entity).fieldNames(), "day")
 
     def raw_tables(self) -> dict[str, DataFrame]:

@@ -20,6 +20,9 @@ class Settings:
     # streaming
     trigger_interval: str = "5 seconds"
     max_offsets_per_trigger: int = 50_000
+    # How long a message may be delivered again and still be recognised; None: it is not looked
+    # for, which only matters to the counts, since state is keyed.
+    redelivery_window: str | None = None
     # Files of a landed feed in one batch.
     files_per_trigger: int = 4
     # Batches between two folds into the partitioned tables.

@@ -46,6 +46,18 @@ def file_changes(
     return _messages(reader.parquet(folder))
 
 
+def without_redelivered(messages: DataFrame, window: str) -> DataFrame:
+    """A stream of messages of which each (topic, partition, offset) passes once.
+
+    Places are remembered for the window, counted from their arrival, and then forgotten, so
+    the state is bounded by what arrives in that time. It comes before any parsing.
+    """
+    stamped = messages.withColumn("received_at", F.current_timestamp()).withWatermark(
+        "received_at", window
+    )
+    return stamped.dropDuplicatesWithinWatermark(["topic", "partition", "offset"]).drop("received_at")
+
+
 def landed_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Batch scan of landed messages."""
     return _messages(spark.read.schema(CHANGE_MESSAGE).parquet(folder))
@@ -69,20 +81,39 @@ def feed_stream(
     return reader.parquet(folder)
 
 
-def kafka_feed(spark: SparkSession, bootstrap_servers: str, topic: str) -> DataFrame:
-    """Feed lines from a single-partition topic; the offset is the arrival order."""
-    records = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .load()
-    )
+# Partitions of one feed topic: places of different partitions never meet below this number.
+_MOST_PARTITIONS = 4096
+
+
+def feed_options(settings: Settings, bootstrap_servers: str, topic: str) -> dict[str, str]:
+    return {
+        "kafka.bootstrap.servers": bootstrap_servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger),
+    }
+
+
+def feed_records(records: DataFrame) -> DataFrame:
+    """Feed lines in an order that is that of the offsets within each partition.
+
+    Senders key the topic by user, so a user's events lie in one partition and only their
+    order matters.
+    """
+    place = F.col("offset") * _MOST_PARTITIONS + F.col("partition")
     return records.select(
-        F.col("offset").alias("seq"), F.col("value").cast("string").alias("value")
+        place.cast("long").alias("seq"), F.col("value").cast("string").alias("value")
     )
 
 
+def kafka_feed(
+    spark: SparkSession, settings: Settings, bootstrap_servers: str, topic: str
+) -> DataFrame:
+    """Live feed topic of any number of partitions (needs the Kafka connector)."""
+    options = feed_options(settings, bootstrap_servers, topic)
+    return feed_records(spark.readStream.format("kafka").options(**options).load())
+
+
 def json_lines_feed(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     """Feed lines from text files, which carry no arrival order but their event time."""
     reader = spark.readStream if streaming else spark.read

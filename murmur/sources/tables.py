@@ -146,14 +146,23 @@ class TableStore:
         return version
 
     def read(
-        self, name: str, schema: T.StructType | None = None, version: int | None = None
+        self,
+        name: str,
+        schema: T.StructType | None = None,
+        version: int | None = None,
+        within: str = "",
     ) -> DataFrame:
+        """A finished version, or what lies in one partition folder of it."""
         known = self.versions(name)
         if not known:
             raise FileNotFoundError(f"table {name} has no finished version under {self.root}")
         path = self._version_path(name, known[-1] if version is None else version)
-        reader = self.spark.read
-        return (reader.schema(schema) if schema else reader).parquet(path)
+        reader = self.spark.read.option("basePath", path)
+        return (reader.schema(schema) if schema else reader).parquet(f"{path}/{within}")
+
+    def holds(self, name: str, within: str) -> bool:
+        """Whether the newest version has a partition folder."""
+        return self.path_exists(f"{self._version_path(name, self.versions(name)[-1])}/{within}")
 
     def vacuum(self, name: str, keep: int = 2) -> None:
         """Drop all but the newest finished versions."""

@@ -28,6 +28,7 @@ from murmur.functions.times import day_of_millis, millis_to_utc
 from murmur.operators import changes, keyed_state, minute_rollups
 from murmur.schemas import KEY_COLUMNS, STATE_ROW, placed
 from murmur.settings import Settings
+from murmur.sources import streams
 from murmur.sources.ledger import Layout, Ledger, Part, Runs, Snapshot
 from murmur.sources.tables import TableStore, together
 
@@ -147,6 +148,8 @@ def start(
         if (batch_id + 1) % settings.fold_every == 0:
             fold(store, batch_id, settings, clock)
 
+    if settings.redelivery_window:
+        messages = streams.without_redelivered(messages, settings.redelivery_window)
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True).start()

@@ -57,10 +57,11 @@ def process_batch(
 ) -> None:
     parsed = feed_events.parse_events(feed)
     events = feed_events.entity_events(parsed, settings.salt, settings.sampling_rate).persist()
-    # Rejected rows count as taken in.
-    seen = keyed_state.spans(events, F.max("time_us").alias("time_us"))
+    # A rejected row is set aside whole: its user is not seen by it either.
+    written = feed_events.writable_events(events)
+    seen = keyed_state.spans(written, F.max("time_us").alias("time_us"))
     try:
-        store.append_batch(EVENTS, feed_events.writable_events(events), batch_id)
+        store.append_batch(EVENTS, written, batch_id)
         together(
             store.spark,
             {

@@ -17,9 +17,15 @@ from murmur.sources.tables import TableStore
 
 
 def watermarked_activity(
-    messages: DataFrame, settings: Settings, now_ms: int | Column
+    messages: DataFrame, settings: Settings, now_ms: Column | None = None
 ) -> DataFrame:
-    """Valid changes with their minute as event time."""
+    """Valid changes with their minute as event time.
+
+    The clock is a column, by default each batch's own time: a number would stand still in a
+    query that runs for days.
+    """
+    if now_ms is None:
+        now_ms = F.unix_millis(F.current_timestamp())
     parsed = changes.parse_changes(messages, settings)
     valid = changes.valid_changes(changes.validate_changes(parsed, settings, now_ms))
     activity = minute_rollups.activity_changes(valid, now_ms)

@@ -246,7 +246,7 @@ def test_older_changes_do_not_regress_compacted_state(spark):
 
 def test_watermarked_counts_equal_batch_on_ordered_input(spark, folder, store):
     activity = minute_rollups.activity_changes(valid(spark, folder), NOW)
-    stream = windowed.watermarked_activity(streams.file_changes(spark, folder, 1), SETTINGS, NOW)
+    stream = windowed.watermarked_activity(streams.file_changes(spark, folder, 1), SETTINGS, F.lit(NOW))
     for name, build, keys, value in (
         (minute_rollups.EVENTS, windowed.event_counts, ["event_type", "operation"], "event_count"),
         (minute_rollups.TAGS, windowed.hashtag_counts, ["hashtag"], "tag_count"),
@@ -277,6 +277,41 @@ def test_feed_stream(spark, store, tmp_path):
     assert store.read_batches(feed_stream.REJECTED).count() == 1
 
 
+def test_redelivered_messages_are_counted_once(spark, store, tmp_path):
+    path = str(tmp_path / "twice")
+    for rows_ in (MESSAGES[:5], MESSAGES[3:], MESSAGES[:4]):
+        spark.createDataFrame(rows_, COLUMNS).coalesce(1).write.mode("append").parquet(path)
+    drain(spark, path, store, replace(SETTINGS, redelivery_window="1 hour"))
+    counts = change_stream.read_rollup(store, minute_rollups.EVENTS)
+    assert counts.agg(F.sum("event_count")).first()[0] == 7
+    assert change_stream.read_quarantine(store).count() == 1
+    assert change_stream.read_batches(store).agg(F.sum("row_count")).first()[0] == len(MESSAGES)
+
+
+def test_late_rows_within_the_watermark_are_counted(spark, store, tmp_path):
+    """Rows hours and weeks late come after newer ones and are neither lost nor counted twice."""
+    hour, day = 60 * MINUTE, 24 * 60 * MINUTE
+    path = str(tmp_path / "late")
+    ages = [0, 3 * hour, 1 * day, 29 * day]
+    for number, age in enumerate(ages):
+        batch = [change(number * 10 + i, f"u{i}", NOW - age) for i in range(3)]
+        spark.createDataFrame(batch, COLUMNS).coalesce(1).write.mode("append").parquet(path)
+    stream = windowed.watermarked_activity(streams.file_changes(spark, path, 1), SETTINGS, F.lit(NOW))
+    windowed.start_updates(
+        windowed.event_counts(stream), store, "late", store.location("checkpoint"), available_now=True
+    ).awaitTermination()
+    found = windowed.latest_values(store, "late", ["event_type", "operation"], "event_count")
+    assert sorted(r.event_count for r in found.collect()) == [3, 3, 3, 3]
+
+
+def test_feed_places_of_several_partitions_do_not_meet(spark):
+    records = spark.createDataFrame(
+        [(p, o, bytearray(b"x")) for p in range(3) for o in range(4)], "partition int, offset long, value binary")
+    places = [r.seq for r in streams.feed_records(records).collect()]
+    assert len(set(places)) == 12 and sorted(places[:4]) == places[:4]
+    assert streams.feed_options(SETTINGS, "b:1", "feed")["maxOffsetsPerTrigger"] == "50000"
+
+
 def test_kafka_options_cap_a_batch():
     options = streams.kafka_options(SETTINGS, "broker:9092")
     assert options["startingOffsets"] == "earliest"
