@@ -20,7 +20,6 @@ from murmur.catalog import mapping
 from murmur.catalog.workspace import open_workspace
 from murmur.operators import checks
 from murmur.plans import daily_report, intermediate, marts, staging
-from murmur.functions.times import utc_literal
 from murmur.operators import history
 from murmur.session import build_session
 
@@ -63,28 +62,41 @@ def main() -> None:
     seconds["log_changes"] = timed(w.logged_changes)
     seconds["ingest_events"] = timed(w.ingested_events)
     seconds["build_raw"] = timed(lambda: w.raw("posts"))
-    raw, store, at = w.raw_tables(), w.scratch_store("scale"), utc_literal(mapping.AS_OF)
+    raw, store = w.raw_tables(), w.scratch_store("scale")
+    book = daily_report.ledger(store)
     staged = staging.stage_all(raw)
     models = daily_report.build_models(spark, staged, w.settings)
-    for name, table in models.items():
-        seconds[name] = timed(lambda: store.write(name, table))
+    facts = models.pop(daily_report.INTERACTIONS)
     current = intermediate.user_activity_summary(staged, w.settings)
-    seconds["first_snapshot"] = timed(
-        lambda: store.write(daily_report.SNAPSHOT, history.first_snapshot(current, at))
-    )
-    seconds["next_snapshot"] = timed(
-        lambda: store.write(
-            daily_report.SNAPSHOT,
-            history.snapshot(store.read(daily_report.SNAPSHOT), current, at),
+
+    def step(label: str, table: str, build) -> None:
+        """Build the parts of a table and commit them."""
+
+        def run() -> None:
+            base = book.snapshot()
+            book.commit(base, {table: build(base)})
+
+        seconds[label] = timed(run)
+
+    for name, table in models.items():
+        step(name, name, lambda base, name=name, table=table: book.replace_all(base, name, table))
+    for label in ("first_facts", "next_facts"):
+        step(
+            label, daily_report.INTERACTIONS,
+            lambda base: daily_report.interaction_changes(book, base, facts, w.settings),
         )
-    )
-    seconds["dim_user"] = timed(
-        lambda: store.write("dim_user", marts.dim_user(store.read(daily_report.SNAPSHOT)))
-    )
+    for label, at in (("first_snapshot", mapping.DAY), ("next_snapshot", mapping.AS_OF)):
+        step(
+            label, daily_report.SNAPSHOT,
+            lambda base, at=at: daily_report.snapshot_changes(book, base, current, at),
+        )
+    versions = daily_report.read(store, daily_report.SNAPSHOT)
+    users = history.with_month(marts.dim_user(versions))
+    step("dim_user", daily_report.USERS, lambda base: book.replace_all(base, daily_report.USERS, users))
     seconds["checks"] = timed(
         lambda: checks.enforce(checks.report(daily_report.written_suite(store, raw)))
     )
-    daily = store.read("fct_user_daily_activity")
+    daily = daily_report.read(store, "fct_user_daily_activity")
     seconds["partition_gate"] = timed(lambda: checks.partition_gate(daily, mapping.DAY, 1).first())
     seconds["publish"] = timed(
         lambda: store.overwrite_partitions(

@@ -790,7 +790,7 @@ def dq_partition_gate(w: Workspace) -> DataFrame:
 
 
 def _day_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    return checks.partition_counts(tables, day_range(F.col("occurred_at"), DAY))
+    return checks.partition_counts(tables, DAY)
 
 
 @query

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmur.functions.times import day_range
+
 ERROR, WARN = "error", "warn"
 
 
@@ -93,10 +95,17 @@ def partition_gate(daily: DataFrame, day: str, min_rows: int) -> DataFrame:
     )
 
 
-def partition_counts(tables: dict[str, DataFrame], in_partition: Column) -> DataFrame:
-    """Rows per entity inside one partition; an empty entity reports zero."""
+def in_day(table: DataFrame, day: str) -> Column:
+    """Rows of one date: by the folders of a table that lies by day, else by its times."""
+    if "day" in table.columns:
+        return F.col("day") == F.lit(day).cast("date")
+    return day_range(F.col("occurred_at"), day)
+
+
+def partition_counts(tables: dict[str, DataFrame], day: str) -> DataFrame:
+    """Rows per entity inside one date; an empty entity reports zero."""
     parts = [
-        table.filter(in_partition)
+        table.filter(in_day(table, day))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(entity).alias("entity"), "row_count")
         for entity, table in tables.items()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.constants import ACTIVITY_ENTITIES
-from murmur.functions.times import day_range, utc_literal
+from murmur.functions.times import utc_literal
 from murmur.operators import checks, history
 from murmur.operators.checks import Check, QualityFailure
 from murmur.plans import intermediate, marts, quality, registry, staging
@@ -236,7 +236,7 @@ def run_daily(
 
         step = "load_raw_partition"
         wait_until(caught_up, settings)
-        raw_counts = checks.partition_counts(activity, day_range(F.col("occurred_at"), day))
+        raw_counts = checks.partition_counts(activity, day)
         raw_total = _total(raw_counts)
         if source_total is None:
             # No other source: the raw layer is its own.

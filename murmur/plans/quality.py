@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.constants import INTERACTIONS, SEGMENTS
-from murmur.functions.times import day_range
 from murmur.operators import checks
 from murmur.operators.checks import Check
 from murmur.plans.staging import ID_COLUMN
@@ -86,13 +85,13 @@ def layer_counts(
     def counted(table: DataFrame, condition: Column, name: str) -> DataFrame:
         return table.filter(condition).agg(F.count(F.lit(1)).alias(name))
 
-    in_day = day_range(F.col("occurred_at"), day)
+    dated = F.col("occurred_date") == F.lit(day).cast("date")
     of_day = F.col("report_date") == F.lit(day).cast("date")
-    live = counted(raw_posts, in_day & ~F.col("is_deleted"), "raw_rows")
+    live = counted(raw_posts, checks.in_day(raw_posts, day) & ~F.col("is_deleted"), "raw_rows")
     return live.select(
         "raw_rows",
-        counted(stg_posts, in_day, "n").scalar().alias("stg_rows"),
-        counted(fct_posts, in_day, "n").scalar().alias("fct_rows"),
+        counted(stg_posts, dated, "n").scalar().alias("stg_rows"),
+        counted(fct_posts, dated, "n").scalar().alias("fct_rows"),
         counted(summaries, of_day, "n").scalar().alias("summary_rows"),
     ).withColumn(
         "reconciled",

@@ -168,11 +168,17 @@ def _covered(snapshot: Snapshot) -> int:
 
 
 def _pending(store: TableStore, name: str, after: int, through: int | None = None) -> DataFrame | None:
-    """The batches behind a commit, None if there are none."""
-    if not any(n > after for n in store.batch_ids(name)):
+    """The finished batches behind a commit, None if there are none.
+
+    A batch is finished when its statistics are there, which are written last: until then no
+    reader sees any of its sinks.
+    """
+    last = max(store.batch_ids(BATCHES), default=-1)
+    last = last if through is None else min(last, through)
+    if last <= after:
         return None
-    rows = store.read_batches(name).filter(F.col("batch_id") > after)
-    return rows if through is None else rows.filter(F.col("batch_id") <= through)
+    at = F.col("batch_id")
+    return store.read_batches(name).filter((at > after) & (at <= last))
 
 
 def with_home(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -262,7 +268,7 @@ def fold_all(
 ) -> Snapshot:
     """Fold what waits behind the last commit, if anything does."""
     snapshot = ledger(store).snapshot()
-    newest = max(store.batch_ids(CHANGES), default=-1)
+    newest = max(store.batch_ids(BATCHES), default=-1)
     return fold(store, newest, settings, clock) if newest > _covered(snapshot) else snapshot
 
 

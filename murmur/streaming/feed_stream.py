@@ -20,6 +20,7 @@ from murmur.sources.ledger import Layout, Ledger, Part, Runs, Snapshot
 from murmur.sources.tables import TableStore, together
 
 EVENTS, SEEN, REJECTED = "entity_events", "seen_events", "rejected_events"
+# Written in this order: a batch is finished when the last one is there.
 _BATCHED = (EVENTS, SEEN, REJECTED)
 CURRENT, SPANS = "current", "spans"
 _THROUGH, _HIGH_WATER = "through_batch", "last_time_us"
@@ -62,15 +63,8 @@ def process_batch(
     seen = keyed_state.spans(written, F.max("time_us").alias("time_us"))
     try:
         store.append_batch(EVENTS, written, batch_id)
-        together(
-            store.spark,
-            {
-                SEEN: lambda: store.append_batch(SEEN, seen, batch_id),
-                REJECTED: lambda: store.append_batch(
-                    REJECTED, feed_events.rejected_events(events), batch_id
-                ),
-            },
-        )
+        store.append_batch(SEEN, seen, batch_id)
+        store.append_batch(REJECTED, feed_events.rejected_events(events), batch_id)
     finally:
         events.unpersist()
 
@@ -102,10 +96,13 @@ def _covered(snapshot: Snapshot) -> int:
 
 
 def _pending(store: TableStore, name: str, after: int, through: int | None = None) -> DataFrame | None:
-    if not any(n > after for n in store.batch_ids(name)):
+    """The finished batches behind a commit, None if there are none."""
+    last = max(store.batch_ids(_BATCHED[-1]), default=-1)
+    last = last if through is None else min(last, through)
+    if last <= after:
         return None
-    rows = store.read_batches(name).filter(F.col("batch_id") > after)
-    return (rows if through is None else rows.filter(F.col("batch_id") <= through)).drop("batch_id")
+    at = F.col("batch_id")
+    return store.read_batches(name).filter((at > after) & (at <= last)).drop("batch_id")
 
 
 def _with_home(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -166,7 +163,7 @@ def fold(store: TableStore, through: int, settings: Settings) -> Snapshot:
 def fold_all(store: TableStore, settings: Settings) -> Snapshot:
     """Fold what waits behind the last commit, if anything does."""
     snapshot = ledger(store).snapshot()
-    newest = max(store.batch_ids(EVENTS), default=-1)
+    newest = max(store.batch_ids(_BATCHED[-1]), default=-1)
     return fold(store, newest, settings) if newest > _covered(snapshot) else snapshot
 
 

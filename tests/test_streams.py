@@ -210,6 +210,32 @@ def test_a_fold_that_breaks_off_shows_nothing(spark, folder, store, monkeypatch)
     assert before == (rows(change_stream.read_state(store)), rows(change_stream.read_rollup(store, minute_rollups.EVENTS)))
 
 
+def test_a_batch_that_breaks_off_is_not_seen(spark, store, monkeypatch):
+    first = spark.createDataFrame(MESSAGES[:3], COLUMNS)
+    second = spark.createDataFrame(MESSAGES[3:6], COLUMNS)
+    change_stream.process_batch(first, 0, store, SETTINGS, lambda: NOW)
+
+    def seen():
+        return [rows(change_stream.read_state(store)), rows(change_stream.read_quarantine(store)),
+                rows(change_stream.read_rollup(store, minute_rollups.EVENTS)),
+                [r.batch_id for r in change_stream.read_batches(store).select("batch_id").collect()]]
+
+    before, write = seen(), store.append_batch
+
+    def broken(name, *args, **kwargs):
+        if name == "rollup_partials":
+            raise OSError("disk full")
+        write(name, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "append_batch", broken)
+        with pytest.raises(OSError):
+            change_stream.process_batch(second, 1, store, SETTINGS, lambda: NOW)
+    assert store.batch_ids("changes") == [0, 1] and seen() == before
+    change_stream.process_batch(second, 1, store, SETTINGS, lambda: NOW)
+    assert seen() != before and len(seen()[0]) == 4
+
+
 def test_of_two_folds_that_overlap_one_is_refused(spark, folder, store):
     drain(spark, folder, store, SETTINGS)
     book = change_stream.ledger(store)
@@ -277,6 +303,56 @@ def test_feed_stream(spark, store, tmp_path):
     assert store.read_batches(feed_stream.REJECTED).count() == 1
 
 
+def test_feed_folds_by_touched_parts(spark, store):
+    def line(seq, user, days, operation="create", key="k", kind="app.bsky.feed.post"):
+        event = {"did": f"did:{user}", "time_us": (NOW - days * 86_400_000) * 1000, "kind": "commit", "commit": {
+            "operation": operation, "collection": kind, "rkey": key, "record": {"text": "#x"}}}
+        return (seq, json.dumps(event))
+
+    settings = replace(SETTINGS, state_buckets=8, most_runs=2)
+
+    def batch(number, lines):
+        feed_stream.process_batch(spark.createDataFrame(lines, "seq long, value string"), number, store, settings)
+        before = dict(feed_stream.ledger(store).snapshot().parts("current"))
+        feed_stream.fold(store, number, settings)
+        after = dict(feed_stream.ledger(store).snapshot().parts("current"))
+        return {p for p in set(before) | set(after) if before.get(p) != after.get(p)}
+
+    first = batch(0, [line(i, f"u{i}", i % 4) for i in range(1, 41)])
+    assert len(first) > 20
+    # One new post, one post written again on another day, one deleted.
+    touched = batch(1, [line(50, "u1", 0, key="new"), line(51, "u2", 0, "update"), line(52, "u3", 0, "delete")])
+    assert len(touched) <= 5 and {p[1] for p in touched} >= {"2024-01-31"}
+    assert feed_stream.read_current(store).count() == 40
+    assert feed_stream.read_users(store).count() == 40
+    batch(2, [line(60, "u5", 0, key="more"), line(61, "u6", 0, kind="app.bsky.graph.follow")])
+    assert feed_stream.read_rejected(store).count() == 1
+    spans = dict(feed_stream.ledger(store).snapshot().parts("spans"))
+    assert max(len(runs) for runs in spans.values()) <= 2
+    [u1] = [r for r in feed_stream.read_users(store).collect() if r.first_seen_at < r.last_seen_at][:1]
+    assert (u1.last_seen_at - u1.first_seen_at).days >= 1
+    # A folded batch that is replayed changes nothing.
+    held = rows(feed_stream.read_current(store))
+    feed_stream.process_batch(
+        spark.createDataFrame([line(3, "u3", 3)], "seq long, value string"), 0, store, settings)
+    assert rows(feed_stream.read_current(store)) == held
+    assert feed_stream.read_high_water(store).first()[0] == NOW * 1000
+
+
+def test_a_deleted_user_leaves_staging(spark):
+    from murmur.plans import staging
+
+    messages = [change(1, "u1", entity="users"), change(2, "u2", entity="users"),
+                change(3, "u1", NOW + 1, op="d", entity="users", key="r1"), change(4, "u1")]
+    cleaned = [(t, p, o, v.replace('"record_key": "r1", ', "").replace('"record_key": "r2", ', "")) for t, p, o, v in messages]
+    parsed = changes.parse_changes(spark.createDataFrame(cleaned, COLUMNS), SETTINGS)
+    valid_ = changes.valid_changes(changes.validate_changes(parsed, SETTINGS, NOW))
+    state = keyed_state.collapse_changes(keyed_state.change_log(valid_, F.lit(None).cast("timestamp_ntz")))
+    users = staging.staged(keyed_state.entity_state(state, "users"), "users")
+    assert [r.user_id_hash for r in users.collect()] == ["u2"]
+    assert state.filter("entity = 'users' and is_deleted").count() == 1
+
+
 def test_redelivered_messages_are_counted_once(spark, store, tmp_path):
     path = str(tmp_path / "twice")
     for rows_ in (MESSAGES[:5], MESSAGES[3:], MESSAGES[:4]):
