@@ -1,19 +1,30 @@
 """Class-based bigram language model after Brown et al., with exchange clustering.
 
-The most frequent training words are assigned to classes by exchange clustering: each word
-moves to the class that raises the class-bigram likelihood most, until nothing moves or
-the passes are used up. All other words, seen or not, belong to classes by shape (length,
-digits, letters beyond ASCII, closing punctuation). A text's probability is the product of
-class transitions and of each word's share in its class, both smoothed by adding counts,
-over all training tokens. Words are known by 64-bit hashes.
-
-Counts of frequent words are sent to every task, under a bound on their number; those of
-the other words are joined by shuffle, once per document and word. Documents without
-doc_id are trained on. Null and empty texts are one end token.
+A core of the most frequent training words, whose number grows with the training tokens, is
+assigned to classes by exchange clustering: each word moves to the class that raises the
+class-bigram likelihood most, until nothing moves or the passes are used up. Every further
+training word that occurs at least ``least_count`` times then joins, on executors, the class
+under which its own neighbours are likeliest, given the bigrams of the core. Words seen
+less often stand for unseen ones: both belong to classes by shape (length, digits, letters
+beyond ASCII, closing punctuation). A text's probability is the product of class
+transitions and of each word's share in its class, both smoothed by adding counts, over all
+training tokens. Words are known by 64-bit hashes.
+
+Counts and classes of the most frequent words are sent to every task, under a bound on their
+number; those of the other words are joined by shuffle, once per document and word. The
+neighbours of a word reach one task as a stream of bytes, two per occurrence; the words that
+own a large share of all tokens are in the core, so that stream stays short. The driver
+holds the bigrams of the core, a square that grows with the root of the tokens.
+
+Documents without doc_id are trained on. Null and empty texts are one end token. Very long
+texts are one row of one byte per word. Repeated rows are trained on and scored as rows of
+their own; of equally good classes the lowest number is taken. An empty table gives no rows;
+columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +49,10 @@ _WIDE[128:] = 1
 
 @dataclass(frozen=True)
 class ClassRules:
-    clustered_words: int = 600
-    classes: int = 40
+    clustered_words: int = 300
+    core_growth: float = 8.0
+    classes: int = 64
+    least_count: int = 2
     passes: int = 6
     sent_words: int = 100_000
     smoothing: float = 0.5
@@ -48,6 +61,10 @@ class ClassRules:
     block_tokens: int = 2_000_000
 
 
+    def core_words(self, tokens: int) -> int:
+        return max(self.clustered_words, round(self.core_growth * tokens**0.25))
+
+
 def held_out(rules: ClassRules) -> Column:
     fold = F.crc32(F.col("doc_id").cast("string")) % rules.folds
     return F.coalesce(fold == rules.held_fold, F.lit(False))
@@ -132,16 +149,23 @@ def bigrams(docs: DataFrame, numbering: Numbering, rules: ClassRules) -> np.ndar
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        total = np.zeros(width * width, np.int64)
+        held, size = [], 0
+
+        def rows() -> pa.RecordBatch:
+            pairs = np.concatenate([np.empty(0, np.int64), *held])
+            found, n = np.unique(pairs, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["pair", "n"])
+
         for batch in batches:
             for text in byte_values(batch.column(0)):
                 numbers = known.of(*tokens(text))
                 border = [known.border]
-                pairs = np.concatenate((border, numbers)) * width + np.concatenate((numbers, border))
-                found, n = np.unique(pairs, return_counts=True)
-                total[found] += n
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
+                held.append(np.concatenate((border, numbers)) * width + np.concatenate((numbers, border)))
+                size += len(numbers) + 1
+                if size > rules.block_tokens:
+                    yield rows()
+                    held, size = [], 0
+        yield rows()
 
     counted = (
         docs.select("text")
@@ -200,134 +224,343 @@ def exchange(counts: np.ndarray, clustered: int, rules: ClassRules) -> np.ndarra
     return of
 
 
+def _class_logs(joined: np.ndarray, classes: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """What a left and a right neighbour's class add to the fit of each class but the border.
+
+    Rows are neighbours' classes. The left part also holds the cost of sharing a class.
+    """
+    width = len(joined)
+    after = np.log((joined + alpha) / (joined.sum(1, keepdims=True) + alpha * width))
+    share = np.log(joined.sum(0) + alpha * width)
+    return (after - share)[:, : width - 1].astype(np.float32), after[: width - 1].T.astype(np.float32)
+
+
+def further_words(docs: DataFrame, numbering: Numbering, of: np.ndarray, joined: np.ndarray, rules: ClassRules) -> DataFrame:
+    """(word, class, n) of all training words beyond the core.
+
+    ``of`` gives the class of every number, ``joined`` the class bigrams of the core.
+    """
+    context = docs.sparkSession.sparkContext
+    classes = len(joined) - _SHAPES - 1
+    shared = context.broadcast((numbering, of.astype(np.uint8)))
+    logs = context.broadcast(_class_logs(joined, classes, rules.smoothing))
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, class_of = shared.value
+        held, size = [], 0
+
+        def rows() -> pa.RecordBatch:
+            words = np.concatenate([np.empty(0, np.uint64), *(h[0] for h in held)])
+            cells = np.concatenate([np.empty((0, 2), np.uint8), *(h[1] for h in held)])
+            shapes = np.concatenate([np.empty(0, np.int64), *(h[2] for h in held)])
+            order = np.argsort(words, kind="stable")
+            words, cells = words[order], np.ascontiguousarray(cells[order])
+            first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1]))[: len(words)])
+            bounds = np.append(first, len(words)).astype(np.int32) * 2
+            packed = pa.Array.from_buffers(
+                pa.binary(), len(first), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(cells.tobytes())]
+            )
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words[first].view(np.int64)), pa.array(shapes[order][first].astype(np.int32)), packed],
+                names=["word", "shape", "cells"],
+            )
+
+        for batch in batches:
+            for text in byte_values(batch.column(0)):
+                words, shapes = tokens(text)
+                numbers = known.of(words, shapes)
+                path = class_of[np.concatenate(([known.border], numbers, [known.border]))]
+                at = np.flatnonzero(numbers >= known.clustered)
+                held.append((words[at], np.stack((path[at], path[at + 2]), 1), shapes[at]))
+                size += len(at)
+                if size > rules.block_tokens:
+                    yield rows()
+                    held, size = [], 0
+        yield rows()
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right = logs.value
+        shape_of = np.arange(classes, classes + _SHAPES)
+        last = None
+
+        def chosen(words, shapes, sums, n) -> pa.RecordBatch:
+            own = shape_of[shapes]
+            fits = sums[:, :classes]
+            best = fits.argmax(1) if len(sums) and classes else np.zeros(len(words), np.int64)
+            keep = (n >= rules.least_count) & (fits.max(1, initial=-np.inf) > sums[np.arange(len(words)), own])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words), pa.array(np.where(keep, best, own).astype(np.int32)), pa.array(n)],
+                names=["word", "class", "n"],
+            )
+
+        for batch in batches:
+            words = batch.column(0).to_numpy()
+            shapes = batch.column(1).to_numpy()
+            cells = [np.frombuffer(c.as_py(), np.uint8).reshape(-1, 2) for c in batch.column(2)]
+            for low in range(0, len(words), 512):
+                own, part = words[low : low + 512], cells[low : low + 512]
+                sizes = np.array([len(c) for c in part])
+                sums = np.empty((len(own), left.shape[1]))
+                small = np.concatenate(part) if sizes.sum() < 1 << 16 else None
+                if small is not None:
+                    sums[:] = np.add.reduceat(
+                        left[small[:, 0]] + right[small[:, 1]], np.cumsum(sizes) - sizes, axis=0, dtype=np.float64
+                    )
+                else:
+                    for at, c in enumerate(part):
+                        sums[at] = np.bincount(c[:, 0], minlength=len(left)) @ left.astype(np.float64)
+                        sums[at] += np.bincount(c[:, 1], minlength=len(right)) @ right.astype(np.float64)
+                kinds = shapes[low : low + 512]
+                if last is not None:
+                    own, kinds = np.append(last[0], own), np.append(last[1], kinds)
+                    sums, sizes = np.concatenate((last[2], sums)), np.append(last[3], sizes)
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                own, kinds = own[first], kinds[first]
+                sums, sizes = np.add.reduceat(sums, first, axis=0), np.add.reduceat(sizes, first)
+                last = own[-1:], kinds[-1:], sums[-1:], sizes[-1:]
+                yield chosen(own[:-1], kinds[:-1], sums[:-1], sizes[:-1])
+        if last is not None:
+            yield chosen(*last)
+
+    found = (
+        docs.select("text")
+        .mapInArrow(neighbours, "word long, shape int, cells binary")
+        .repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(assign, "word long, class int, n long")
+    )
+    return stored(found, "further_words")
+
+
 @dataclass
-class ClassModel:
-    numbering: Numbering
-    classes: np.ndarray
-    transitions: np.ndarray
-    shares: np.ndarray
+class WordModel:
+    """The words that every task knows, and the classes of all others by shape."""
+
     words: np.ndarray
+    classes: np.ndarray
     logs: np.ndarray
+    shape_class: int
+    border: int
     train_tokens: int
     vocabulary: int
     end_log: float
 
 
-def train(docs: DataFrame, rules: ClassRules = ClassRules()) -> tuple[ClassModel, DataFrame]:
-    """The model and its vocabulary table."""
+def train_words(docs: DataFrame, rules: ClassRules = ClassRules()) -> tuple[WordModel, DataFrame, np.ndarray]:
+    """The words sent to tasks, the table of words beyond the core, and each class's share log."""
     learnt = docs.where(~held_out(rules))
     words = vocabulary(learnt, rules)
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
-    plain = words.where("shape >= 0")
-    top = plain.orderBy(F.desc("n"), "word").limit(rules.sent_words).toPandas()
-    hashes = top["word"].to_numpy(np.int64).view(np.uint64)
-    counts = top["n"].to_numpy(np.float64)
-    numbering = Numbering(hashes[: rules.clustered_words].copy())
+    top = words.where("shape >= 0").orderBy(F.desc("n"), "word").limit(rules.core_words(n)).toPandas()
+    core = top["word"].to_numpy(np.int64).view(np.uint64).copy()
+    core_n = top["n"].to_numpy(np.float64)
+    numbering = Numbering(core)
     matrix = bigrams(learnt, numbering, rules)
     of = exchange(matrix, numbering.clustered, rules)
     width = int(of.max()) + 1
     joined = np.zeros((width, width))
     np.add.at(joined, (of[:, None], of[None, :]), matrix)
-    alpha = rules.smoothing
-    transitions = np.log10((joined + alpha) / (joined.sum(1, keepdims=True) + alpha * width))
-    distinct = np.zeros(width)
-    np.add.at(distinct, of[: numbering.clustered], 1)
-    for row in plain.groupBy("shape").count().collect():
-        distinct[of[numbering.clustered + row["shape"]]] += row["count"]
-    # Clustered words were counted with their shape; that only smooths shapes a little more.
-    shares = np.log10(joined.sum(0) + distinct + 1)
-    shares[of[numbering.border]] = 0.0
+    further = further_words(learnt, numbering, of, joined, rules)
+
+    sizes = np.zeros(width)
+    np.add.at(sizes, of[: len(core)], core_n + 1)
+    for row in further.groupBy("class").agg(F.sum(F.col("n") + 1).alias("n")).collect():
+        sizes[row["class"]] += row["n"]
+    shares = np.log10(sizes + 1)
+    shares[-1] = 0.0
+    sent = further.orderBy(F.desc("n"), "word").limit(max(0, rules.sent_words - len(core))).toPandas()
+    hashes = np.concatenate((core, sent["word"].to_numpy(np.int64).view(np.uint64)))
+    classes = np.concatenate((of[: len(core)], sent["class"].to_numpy(np.int64)))
+    counts = np.concatenate((core_n, sent["n"].to_numpy(np.float64)))
     order = np.argsort(hashes)
     ends = words.where("shape < 0").first()
-    end_log = float(np.log10((ends["n"] if ends else 0) + 1))
-    model = ClassModel(
-        numbering, of, transitions, shares, hashes[order], np.log10(counts[order] + 1), n, v, end_log
+    model = WordModel(
+        hashes[order],
+        classes[order].astype(np.uint8),
+        np.log10(counts[order] + 1),
+        width - 1 - _SHAPES,
+        width - 1,
+        n,
+        v,
+        float(np.log10((ends["n"] if ends else 0) + 1)),
     )
-    return model, plain
+    return model, further, shares
 
 
-_SCORED = (
+_PARTS = (
     "row_no long, doc_id long, held_out boolean, n_tokens long, n_known long, "
-    "base_part double, model_part double, word long, n long"
+    "logs double, path binary, slots binary, word long, slot int, n long, shape int"
 )
+#: Marks a place of a path whose word tasks do not know.
+_OPEN = 128
 
 
-def _score_rows(docs: DataFrame, model: ClassModel, rules: ClassRules) -> DataFrame:
-    """Rows of documents (word null) and of their words that tasks do not know."""
+def _word_rows(docs: DataFrame, model: WordModel, rules: ClassRules) -> DataFrame:
+    """Rows of documents (word null) with their classes, and of their words that tasks do not know."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [part.split()[0] for part in _SCORED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: ClassModel = shared.value
+    schema = pa.schema(
+        [
+            ("row_no", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+            ("n_known", pa.int64()), ("logs", pa.float64()), ("path", pa.binary()), ("slots", pa.binary()),
+            ("word", pa.int64()), ("slot", pa.int32()), ("n", pa.int64()), ("shape", pa.int32()),
+        ]
+    )
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: WordModel = shared.value
         row_no = TaskContext.get().partitionId() << 36
-        per_token = np.log10(m.train_tokens + m.vocabulary + 1)
-        border = m.classes[m.numbering.border]
         for batch in batches:
-            rows, words_of, row_of, n_of = [], [], [], []
+            rows, open_words = [], []
             ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc, out, text in zip(ids, held, byte_values(batch.column(2))):
                 words, shapes = tokens(text)
-                kinds_of = m.classes[m.numbering.of(words, shapes)]
-                path = np.concatenate(([border], kinds_of, [border]))
-                moves = m.transitions[path[:-1], path[1:]].sum()
-                at = np.minimum(np.searchsorted(m.words, words), max(0, len(m.words) - 1))
-                hit = m.words[at] == words if len(m.words) else np.zeros(len(words), bool)
-                logs = m.logs[at[hit]].sum() if len(m.words) else 0.0
-                rare, n = np.unique(words[~hit], return_counts=True)
+                path = (shapes + m.shape_class).astype(np.uint8)
+                hit, logs = np.zeros(len(words), bool), 0.0
+                if len(m.words):
+                    at = np.minimum(np.searchsorted(m.words, words), len(m.words) - 1)
+                    hit = m.words[at] == words
+                    path[hit] = m.classes[at[hit]]
+                    logs = m.logs[at[hit]].sum()
+                rest = ~hit
+                rare, first, slots, n = np.unique(
+                    words[rest], return_index=True, return_inverse=True, return_counts=True
+                )
+                kinds = path[rest][first]
+                path[rest] += _OPEN
                 row_no += 1
-                end_known = m.end_log > 0
-                base = logs + m.end_log - (len(words) + 1) * per_token
                 rows.append(
-                    (row_no, doc, out, len(words) + 1, int(hit.sum()) + end_known, base,
-                     logs + moves - m.shares[kinds_of].sum(), None, None)
+                    (row_no, doc, out, len(words) + 1, int(hit.sum()) + (m.end_log > 0), logs + m.end_log,
+                     path.tobytes(), slots.astype(np.int32).tobytes())
                 )
-                words_of.append(rare.view(np.int64))
-                row_of.append(np.full(len(rare), row_no, np.int64))
-                n_of.append(n)
+                open_words.append((np.full(len(rare), row_no), rare.view(np.int64), np.arange(len(rare)), n, kinds))
+            columns = list(zip(*rows)) if rows else [[]] * 8
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 9, kinds)], names=names
+                arrays + [pa.nulls(len(rows), f.type) for f in list(schema)[8:]], schema=schema
             )
-            if words_of and (size := sum(map(len, words_of))):
-                none = [pa.nulls(size, kind) for kind in kinds[1:7]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(row_of)), *none, pa.array(np.concatenate(words_of)), pa.array(np.concatenate(n_of))],
-                    names=names,
-                )
+            if rows and (size := sum(len(o[0]) for o in open_words)):
+                row, *others = (np.concatenate(c) for c in zip(*open_words))
+                arrays = [pa.array(row, pa.int64())] + [pa.nulls(size, f.type) for f in list(schema)[1:8]]
+                arrays += [pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(others, list(schema)[8:])]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     picked = docs.select(F.col("doc_id").cast("long"), held_out(rules).alias("held_out"), "text")
-    return stored(picked.mapInArrow(score, _SCORED), "scored")
+    return stored(picked.mapInArrow(split, _PARTS), "words_of_texts")
 
 
-def score_texts(docs: DataFrame, rules: ClassRules = ClassRules()) -> DataFrame:
-    """One row per document with the base and the model's log10 probability."""
-    model, words = train(docs, rules)
-    rows = _score_rows(docs, model, rules)
-    rare = (
+def _paths(docs: DataFrame, model: WordModel, further: DataFrame, rules: ClassRules) -> DataFrame:
+    """One row per document with the class of each of its words, and the sum of count logs."""
+    rows = _word_rows(docs, model, rules)
+    moved = F.when(F.col("class") != F.col("shape"), F.struct("slot", "class"))
+    known = (
         rows.where("word is not null")
-        .select("row_no", "word", F.col("n").alias("times"))
-        .join(words.select("word", F.col("n").alias("seen")), "word")
+        .select("row_no", "word", "slot", "shape", F.col("n").alias("times"))
+        .join(further.select("word", "class", F.col("n").alias("seen")), "word")
         .groupBy("row_no")
         .agg(
-            F.sum(F.col("times") * F.log10(F.col("seen") + 1)).alias("logs"),
-            F.sum("times").alias("known"),
+            F.sum(F.col("times") * F.log10(F.col("seen") + 1)).alias("more_logs"),
+            F.sum("times").alias("more_known"),
+            F.collect_list(moved).alias("moved"),
         )
+        .select("row_no", "more_logs", "more_known", "moved.slot", "moved.class")
     )
-    logs = F.coalesce("logs", F.lit(0.0))
-    score = F.col("model_part") + logs
-    return (
+    whole = (
         rows.where("word is null")
-        .drop("word", "n")
-        .join(rare, "row_no", "left")
+        .select("row_no", "doc_id", "held_out", "n_tokens", "n_known", "logs", "path", "slots")
+        .join(known, "row_no", "left")
         .select(
             "doc_id",
             "held_out",
             "n_tokens",
-            (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-            F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-            (F.col("base_part") + logs).alias("base_score"),
-            score.alias("score"),
-            F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+            (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+            (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("logs"),
+            "path",
+            "slots",
+            "slot",
+            "class",
         )
     )
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = []
+            for path, slots, slot, kind in zip(*(batch.column(i) for i in range(5, 9))):
+                path = np.frombuffer(path.as_py(), np.uint8).copy()
+                places = np.flatnonzero(path >= _OPEN)
+                path[places] -= _OPEN
+                if slot.is_valid and len(slot):
+                    slots = np.frombuffer(slots.as_py(), np.int32)
+                    change = np.full(slots.max() + 1, -1)
+                    change[slot.values.to_numpy()] = kind.values.to_numpy()
+                    new = change[slots]
+                    path[places[new >= 0]] = new[new >= 0]
+                paths.append(path.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(paths, pa.binary())], names=[*batch.schema.names[:5], "path"]
+            )
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, path binary"
+    return stored(whole.mapInArrow(settle, schema), "class_paths")
+
+
+def transitions(paths: DataFrame, border: int, rules: ClassRules) -> np.ndarray:
+    """log10 probability of each class after another, from the training paths."""
+    width = border + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width * width, np.int64)
+        for batch in batches:
+            for path in byte_values(batch.column(0)):
+                steps = _steps(path, border)
+                total += np.bincount(steps[:-1] * width + steps[1:], minlength=width * width)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
+
+    counted = paths.where("not held_out").select("path").mapInArrow(count, "pair long, n long")
+    matrix = np.zeros(width * width)
+    for row in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        matrix[row["pair"]] = row["n"]
+    matrix = matrix.reshape(width, width)
+    alpha = rules.smoothing
+    return np.log10((matrix + alpha) / (matrix.sum(1, keepdims=True) + alpha * width))
+
+
+def _steps(path: bytes, border: int) -> np.ndarray:
+    return np.concatenate(([border], np.frombuffer(path, np.uint8), [border])).astype(np.int64)
+
+
+def score_texts(docs: DataFrame, rules: ClassRules = ClassRules()) -> DataFrame:
+    """One row per document with the base and the model's log10 probability."""
+    if rules.classes + _SHAPES >= _OPEN:
+        raise ValueError(f"at most {_OPEN - _SHAPES - 1} classes")
+    model, further, shares = train_words(docs, rules)
+    paths = _paths(docs, model, further, rules)
+    moves = transitions(paths, model.border, rules)
+    shared = docs.sparkSession.sparkContext.broadcast((moves - shares, model.border, model.end_log))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gain, border, end_log = shared.value
+        for batch in batches:
+            sums = []
+            for path in byte_values(batch.column(5)):
+                steps = _steps(path, border)
+                sums.append(gain[steps[:-1], steps[1:]].sum())
+            # the border follows with its own probability; it has no share among words
+            model_part = batch.column(4).to_numpy() + np.array(sums, np.float64) - end_log
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(model_part)], names=[*batch.schema.names[:5], "score"]
+            )
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double"
+    per_token = math.log10(model.train_tokens + model.vocabulary + 1)
+    return paths.mapInArrow(score, schema).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+        (F.col("logs") - F.col("n_tokens") * per_token).alias("base_score"),
+        "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+    )

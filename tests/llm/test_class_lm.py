@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 
-from murmur.llm.class_lm import ClassRules, exchange, score_texts
+from murmur.llm.class_lm import ClassRules, exchange, score_texts, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -74,3 +74,87 @@ def test_exchange_separates_word_classes():
 
 def test_empty_table(spark):
     assert score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_core_grows_with_tokens():
+    sizes = [ClassRules().core_words(10**k) for k in range(6, 14)]
+    assert sizes == sorted(set(sizes)) and ClassRules().core_words(0) == ClassRules().clustered_words
+
+
+SMALL = dict(clustered_words=12, core_growth=0.0, classes=4)
+
+
+def plain_model(rows, rules):
+    """Classes of all training words, by comparing every class, and each text's score."""
+    numbers = {}
+    train = [lowered(text)[:-1] for doc, text in rows if not fold(doc)]
+
+    def hashed(word):
+        if word not in numbers:
+            h, shape = tokens(word.encode())
+            numbers[word] = int(h[0]), int(shape[0])
+        return numbers[word]
+
+    counts = Counter(w for words in train for w in words)
+    signed = lambda h: h - (1 << 64) if h >= 1 << 63 else h
+    core = sorted(counts, key=lambda w: (-counts[w], signed(hashed(w)[0])))[: rules.clustered_words]
+    place = {w: i for i, w in enumerate(core)}
+    border = len(core) + 32
+    number = lambda w: place.get(w, len(core) + hashed(w)[1])
+    matrix = np.zeros((border + 1, border + 1))
+    for words in train:
+        path = [border, *map(number, words), border]
+        for a, b in zip(path, path[1:]):
+            matrix[a, b] += 1
+    of = exchange(matrix, len(core), rules)
+    width = int(of.max()) + 1
+    joined = np.zeros((width, width))
+    np.add.at(joined, (of[:, None], of[None, :]), matrix)
+    alpha = rules.smoothing
+    after = np.log((joined + alpha) / (joined.sum(1, keepdims=True) + alpha * width))
+    share = np.log(joined.sum(0) + alpha * width)
+    around = {}
+    for words in train:
+        path = [of[border], *(of[number(w)] for w in words), of[border]]
+        for i, w in enumerate(words):
+            around.setdefault(w, []).append((path[i], path[i + 2]))
+    class_of = {}
+    for w in counts:
+        own = width - 33 + hashed(w)[1]
+        fit = lambda k: sum(after[left, k] - share[k] + after[k, right] for left, right in around[w])
+        best = max(range(width - 33), key=lambda k: (round(fit(k), 4), -k))
+        moved = counts[w] >= rules.least_count and fit(best) > fit(own)
+        class_of[w] = of[place[w]] if w in place else best if moved else own
+    sizes = np.zeros(width)
+    for w, n in counts.items():
+        sizes[class_of[w]] += n + 1
+    kind = lambda w: class_of.get(w, width - 33 + hashed(w)[1])
+    moves = np.zeros((width, width))
+    for words in train:
+        path = [width - 1, *map(kind, words), width - 1]
+        for a, b in zip(path, path[1:]):
+            moves[a, b] += 1
+    moves = (moves + alpha) / (moves.sum(1, keepdims=True) + alpha * width)
+    scores = {}
+    for doc, text in rows:
+        words = lowered(text)[:-1]
+        path = [width - 1, *map(kind, words), width - 1]
+        score = sum(math.log10(moves[a, b]) for a, b in zip(path, path[1:]))
+        score += sum(math.log10((counts[w] + 1) / (sizes[kind(w)] + 1)) for w in words)
+        scores.setdefault(doc, []).append(score)
+    return class_of, scores
+
+
+def test_model_scores_equal_brute_force(spark):
+    rows = corpus() + [(1_000 + i, "rare%d noun%d verb1 a noun3." % (i // 3, i % 40)) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for sent in (100_000, 20):
+        rules = ClassRules(sent_words=sent, **SMALL)
+        class_of, expected = plain_model(rows, rules)
+        assert len({k for w, k in class_of.items() if w.startswith("rare") and k < 4}) >= 1
+        found = {}
+        for r in score_texts(docs, rules).collect():
+            found.setdefault(r["doc_id"], []).append(r["score"])
+        assert found.keys() == expected.keys()
+        for doc, scores in expected.items():
+            assert np.allclose(sorted(found[doc]), sorted(scores), rtol=1e-6)
