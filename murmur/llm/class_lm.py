@@ -25,7 +25,7 @@ columns other than doc_id and text are not read, whatever their names.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +39,7 @@ from murmur.llm.hashing import word_bounds, word_hashes
 
 _END = -1
 _SHAPES = 32
+_TOGETHER = 1 << 17
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _DIGIT = np.zeros(256, np.int64)
@@ -86,6 +87,46 @@ def tokens(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return hashes, shape * 2 + _PUNCTUATION[raw[end - 1]]
 
 
+@dataclass
+class TokenGroup:
+    """Words of some texts, one text after the other; ``ends`` counts the words up to each text's end."""
+
+    words: np.ndarray
+    shapes: np.ndarray
+    ends: np.ndarray
+
+    def text_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.ends)), np.diff(self.ends, prepend=0))
+
+    def with_borders(self, numbers: np.ndarray, border: int) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers with a border before, between and behind the texts, and each word's place there."""
+        places = np.arange(len(numbers)) + 1 + self.text_of()
+        path = np.full(len(numbers) + len(self.ends) + 1, border, numbers.dtype)
+        path[places] = numbers
+        return path, places
+
+
+def token_groups(texts: Iterable[bytes]) -> Iterator[TokenGroup]:
+    """The words of all texts; short texts are read together, which is faster."""
+
+    def together(held: list[bytes]) -> TokenGroup:
+        joined = b"\n".join(held)
+        words, shapes = tokens(joined)
+        first, _ = word_bounds(joined)
+        return TokenGroup(words, shapes, np.searchsorted(first, np.cumsum([len(t) + 1 for t in held])))
+
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size > _TOGETHER:
+            yield together(held)
+            held, size = [], 0
+    if held:
+        yield together(held)
+
+
 def vocabulary(docs: DataFrame, rules: ClassRules) -> DataFrame:
     """(word, shape, n) over all training tokens; the end token has shape -1."""
 
@@ -106,12 +147,11 @@ def vocabulary(docs: DataFrame, rules: ClassRules) -> DataFrame:
             )
 
         for batch in batches:
-            for text in byte_values(batch.column(0)):
-                words, kinds = tokens(text)
-                held.append(words)
-                shapes.append(kinds)
-                size += len(words)
-                ends += 1
+            for group in token_groups(byte_values(batch.column(0))):
+                held.append(group.words)
+                shapes.append(group.shapes)
+                size += len(group.words)
+                ends += len(group.ends)
                 if size > rules.block_tokens:
                     yield rows()
                     held, shapes, size, ends = [], [], 0, 0
@@ -157,11 +197,10 @@ def bigrams(docs: DataFrame, numbering: Numbering, rules: ClassRules) -> np.ndar
             return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["pair", "n"])
 
         for batch in batches:
-            for text in byte_values(batch.column(0)):
-                numbers = known.of(*tokens(text))
-                border = [known.border]
-                held.append(np.concatenate((border, numbers)) * width + np.concatenate((numbers, border)))
-                size += len(numbers) + 1
+            for group in token_groups(byte_values(batch.column(0))):
+                path, _ = group.with_borders(known.of(group.words, group.shapes), known.border)
+                held.append(path[:-1] * width + path[1:])
+                size += len(path)
                 if size > rules.block_tokens:
                     yield rows()
                     held, size = [], 0
@@ -266,12 +305,12 @@ def further_words(docs: DataFrame, numbering: Numbering, of: np.ndarray, joined:
             )
 
         for batch in batches:
-            for text in byte_values(batch.column(0)):
-                words, shapes = tokens(text)
-                numbers = known.of(words, shapes)
-                path = class_of[np.concatenate(([known.border], numbers, [known.border]))]
+            for group in token_groups(byte_values(batch.column(0))):
+                numbers = known.of(group.words, group.shapes)
+                path, places = group.with_borders(class_of[numbers], class_of[known.border])
                 at = np.flatnonzero(numbers >= known.clustered)
-                held.append((words[at], np.stack((path[at], path[at + 2]), 1), shapes[at]))
+                place = places[at]
+                held.append((group.words[at], np.stack((path[place - 1], path[place + 1]), 1), group.shapes[at]))
                 size += len(at)
                 if size > rules.block_tokens:
                     yield rows()
@@ -411,39 +450,54 @@ def _word_rows(docs: DataFrame, model: WordModel, rules: ClassRules) -> DataFram
         m: WordModel = shared.value
         row_no = TaskContext.get().partitionId() << 36
         for batch in batches:
-            rows, open_words = [], []
             ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, out, text in zip(ids, held, byte_values(batch.column(2))):
-                words, shapes = tokens(text)
-                path = (shapes + m.shape_class).astype(np.uint8)
-                hit, logs = np.zeros(len(words), bool), 0.0
+            done = 0
+            for group in token_groups(byte_values(batch.column(2))):
+                words, text_of, size = group.words, group.text_of(), len(group.ends)
+                path = (group.shapes + m.shape_class).astype(np.uint8)
+                hit, logs = np.zeros(len(words), bool), np.zeros(len(words))
                 if len(m.words):
                     at = np.minimum(np.searchsorted(m.words, words), len(m.words) - 1)
                     hit = m.words[at] == words
                     path[hit] = m.classes[at[hit]]
-                    logs = m.logs[at[hit]].sum()
-                rest = ~hit
-                rare, first, slots, n = np.unique(
-                    words[rest], return_index=True, return_inverse=True, return_counts=True
-                )
-                kinds = path[rest][first]
+                    logs[hit] = m.logs[at[hit]]
+                rest = np.flatnonzero(~hit)
+                order = rest[np.lexsort((words[rest], text_of[rest]))]
+                own, text = words[order], text_of[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (own[1:] != own[:-1]) | (text[1:] != text[:-1])
+                first = np.flatnonzero(new)
+                # words are numbered within their text
+                begin = np.searchsorted(text[first], np.arange(size))
+                slot = np.arange(len(first)) - begin[text[first]]
+                slots = np.empty(len(words), np.int32)
+                slots[order] = slot[np.cumsum(new) - 1]
+                kinds = path[order[first]]
                 path[rest] += _OPEN
-                row_no += 1
-                rows.append(
-                    (row_no, doc, out, len(words) + 1, int(hit.sum()) + (m.end_log > 0), logs + m.end_log,
-                     path.tobytes(), slots.astype(np.int32).tobytes())
-                )
-                open_words.append((np.full(len(rare), row_no), rare.view(np.int64), np.arange(len(rare)), n, kinds))
-            columns = list(zip(*rows)) if rows else [[]] * 8
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
-            yield pa.RecordBatch.from_arrays(
-                arrays + [pa.nulls(len(rows), f.type) for f in list(schema)[8:]], schema=schema
-            )
-            if rows and (size := sum(len(o[0]) for o in open_words)):
-                row, *others = (np.concatenate(c) for c in zip(*open_words))
-                arrays = [pa.array(row, pa.int64())] + [pa.nulls(size, f.type) for f in list(schema)[1:8]]
-                arrays += [pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(others, list(schema)[8:])]
-                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+                slots, open_ends = slots[rest], np.searchsorted(rest, group.ends)
+                starts, open_starts = np.append(0, group.ends[:-1]), np.append(0, open_ends[:-1])
+                rows = [
+                    np.arange(row_no, row_no + size),
+                    ids[done : done + size],
+                    held[done : done + size],
+                    np.diff(group.ends, prepend=0) + 1,
+                    np.bincount(text_of[hit], minlength=size) + int(m.end_log > 0),
+                    np.bincount(text_of, logs, size) + m.end_log,
+                    [path[i:j].tobytes() for i, j in zip(starts, group.ends)],
+                    [slots[i:j].tobytes() for i, j in zip(open_starts, open_ends)],
+                ]
+                arrays = [pa.array(c, f.type) for c, f in zip(rows, schema)]
+                yield pa.RecordBatch.from_arrays(
+                    arrays + [pa.nulls(size, f.type) for f in list(schema)[8:]], schema=schema
+                )
+                if len(first):
+                    others = own[first].view(np.int64), slot, np.diff(first, append=len(order)), kinds
+                    arrays = [pa.array(row_no + text[first], pa.int64())]
+                    arrays += [pa.nulls(len(first), f.type) for f in list(schema)[1:8]]
+                    arrays += [pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(others, list(schema)[8:])]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+                row_no += size
+                done += size
 
     picked = docs.select(F.col("doc_id").cast("long"), held_out(rules).alias("held_out"), "text")
     return stored(picked.mapInArrow(split, _PARTS), "words_of_texts")
