@@ -6,14 +6,18 @@ random model is a ``random`` span, unless a base span overlaps it. Everything ru
 DataFrame functions within each row; only the training sample is shuffled.
 
 Null and empty texts have no spans. Repeated rows are scanned alike; a null doc_id is
-carried through. A document with tens of thousands of matches costs time in the square of
-their number, since running positions are built match by match.
+carried through. Very long texts are whole too: positions are added up in chunks of matches, so
+the time of a text with many matches is close to linear in their number. An empty table has no
+result rows; columns other than doc_id and text are not read by the scan and kept by the redaction.
+
+UUIDs are ordinary identifiers by their form, which is checked after the models.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,9 +31,13 @@ ASSIGN = (
 VALUE = r"[A-Za-z0-9+/_.=-]+"
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
+#: Fixed value: the form of a UUID, with words before it.
+UUID = r"^(?:[A-Za-z]+[_/=-])*[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$"
 KINDS = ("assign", "access", "hex", "random")
 
 _SIZE = 128
+#: Matches whose positions are added up together.
+_CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -60,7 +68,6 @@ def _spans(text: Column, pattern: str, kind: int, tested: Column, least: int) ->
         F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("match"), tested.alias("part")
     )
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
 
     def step(state: Column, item: Column) -> Column:
         begin = state["at"] + item["gap"]
@@ -70,7 +77,35 @@ def _spans(text: Column, pattern: str, kind: int, tested: Column, least: int) ->
         found = F.when(item["part"] >= least, more).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    return F.aggregate(steps, start, step, lambda state: state["found"])
+    def of_chunk(chunk: Column, at: Column) -> Column:
+        return F.aggregate(chunk, F.struct(at.alias("at"), empty.alias("found")), step, lambda state: state["found"])
+
+    def in_chunks(items: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _CHUNK).cast("int")),
+            lambda i: F.slice(items, i * _CHUNK + 1, _CHUNK),
+        )
+
+    def whole(chunks: Column) -> Column:
+        lengths = F.transform(
+            chunks, lambda c: F.aggregate(c, F.lit(0), lambda at, item: at + item["gap"] + item["match"])
+        )
+        begins = F.aggregate(
+            lengths, F.array(F.lit(0)), lambda at, n: F.concat(at, F.array(F.element_at(at, -1) + n))
+        )
+        return _bound(begins, lambda known: F.flatten(F.transform(chunks, lambda c, i: of_chunk(c, F.get(known, i)))))
+
+    return _bound(
+        steps,
+        lambda items: F.when(F.size(items) <= _CHUNK, of_chunk(items, F.lit(0))).otherwise(
+            _bound(in_chunks(items), whole)
+        ),
+    )
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _all_spans(text: Column, pattern: str, kind: int, least: int, group: str = "") -> Column:
@@ -145,26 +180,57 @@ def labelled_samples(docs: DataFrame, rules: SecretRules = SecretRules()) -> Dat
     """Tokens labelled 1 (random) and 0 (ordinary).
 
     Ordinary ones are the plain words of at most ``sample_documents`` documents, chosen by
-    the hash of doc_id; random ones are base64 and hexadecimal digests of counters.
+    the hash of doc_id, runs of them joined as identifiers and paths are, and numbers,
+    dates, versions and telephone numbers; random ones are base64 digests of counters.
     """
     keys = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").alias("key"))
     few = keys.distinct().orderBy(F.xxhash64("key"), "key").limit(rules.sample_documents)
     chosen = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("key"))
-    words = chosen.select(
-        F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_-]{3,}"), F.lit(0))).alias("token")
+    found = F.filter(F.regexp_extract_all("text", F.lit(r"[A-Za-z_-]{3,}"), F.lit(0)), lambda w: F.length(w) <= 64)
+    words = chosen.select(found.alias("words")).where(F.size("words") > 0)
+    # each word with the two behind it
+    runs = words.select(
+        "words",
+        F.explode(
+            F.transform(F.sequence(F.lit(1), F.size("words")), lambda i: F.slice("words", i, 3))
+        ).alias("run"),
+    )
+    lower = F.transform("run", lambda w: F.lower(w))
+    ordinary = runs.select(
+        F.explode(
+            F.array(
+                F.element_at("run", 1),
+                F.array_join(lower, "_"),
+                F.array_join("run", "/"),
+                F.array_join(lower, "-"),
+                F.array_join(F.transform(lower, lambda w: F.initcap(w)), ""),
+            )
+        ).alias("token"),
+        F.lit(0).alias("label"),
     )
-    ordinary = words.where(F.length("token") <= 64).select("token", F.lit(0).alias("label"))
-    # Also joined words, as identifiers in code are.
-    cased = ordinary.select(F.concat_ws("_", F.lower("token"), F.lower("token")), "label")
     numbers = docs.sparkSession.range(rules.random_strings).select(
-        F.sha2(F.col("id").cast("string"), 256).alias("digest")
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("digest")
+    )
+    digits = F.concat(*(F.lpad(F.conv(F.substring("digest", at, 14), 16, 10), 17, "0") for at in (1, 15)))
+    day = F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") * 4).cast("int")), "yyyy-MM-dd")
+    part = lambda at, size: F.substring(digits, at, size)
+    plain = numbers.select(
+        F.explode(
+            F.array(
+                digits,
+                F.concat_ws("_", F.lit("backup"), day, day),
+                F.concat_ws("/", F.lit("data"), F.translate(day, "-", "/"), F.concat(F.lit("part-"), part(4, 5))),
+                F.concat_ws("-", part(3, 3), part(6, 3), part(9, 4), part(13, 4), part(17, 4)),
+                F.concat(F.lit("release-"), part(3, 1), F.lit("-"), part(5, 2), F.lit("-"), part(8, 1)),
+            )
+        ).alias("token"),
+        F.lit(0).alias("label"),
     )
     coded = F.base64(F.unhex("digest"))
+    safe = F.translate(coded, "+/=", "-_")
     upper = F.upper(F.regexp_replace(coded, "[^A-Za-z0-9]", ""))
-    random = numbers.select(
-        F.explode(F.array("digest", coded, coded, upper)).alias("token"), F.lit(1).alias("label")
-    )
-    return ordinary.union(cased).union(random)
+    random = numbers.select(F.explode(F.array(coded, safe, coded, upper)).alias("token"), F.lit(1).alias("label"))
+    return ordinary.union(plain).union(random)
 
 
 def _random_spans(rules: SecretRules, ratio: list[float]) -> Column:
@@ -185,7 +251,9 @@ def _random_spans(rules: SecretRules, ratio: list[float]) -> Column:
         return total / (F.length(token) - 1)
 
     tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    tested = F.transform(tokens, lambda t: F.when(mean_ratio(t) >= rules.ratio, 1).otherwise(0))
+    tested = F.transform(
+        tokens, lambda t: F.when(~F.rlike(t, F.lit(UUID)) & (mean_ratio(t) >= rules.ratio), 1).otherwise(0)
+    )
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     return F.when(F.rlike(text, F.lit(pattern)), _spans(text, pattern, 3, tested, 1)).otherwise(none)
 

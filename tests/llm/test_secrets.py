@@ -1,10 +1,16 @@
+import argparse
+import base64
 import hashlib
+import inspect
+import logging
 import random
 import re
+import string
+import subprocess
 
 import pytest
 
-from murmur.llm.secrets import SecretRules, labelled_samples, redact_secrets, scan_secrets, train_ratio
+from murmur.llm.secrets import SecretRules, labelled_samples, redact_secrets, scan_secrets, train_ratio, with_spans
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -87,3 +93,47 @@ def test_redaction_keeps_columns_and_clean_rows(docs):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert scan_secrets(empty).count() == 0
+
+
+def prose():
+    """English with many different words: the help texts of Python's own modules."""
+    modules = (argparse, logging, random, string, subprocess)
+    return [(i, inspect.getsource(module)) for i, module in enumerate(modules)]
+
+
+def test_ordinary_identifiers_are_no_secrets_and_random_ones_are(spark):
+    ordinary = [
+        "src/main/java/org/apache/spark/sql",
+        "12345678901234567890",
+        "550e8400-e29b-41d4-a716-446655440000",
+        "user/550e8400-e29b-41d4-a716-446655440000",
+        "backup_2024-01-01_2024-02-01",
+        "0049-30-1234-5678-9012",
+        "HttpRequestHandlerFactoryBean",
+        "release-notes-2023-11-final",
+        "data/2021/03/17/part-00012",
+        "user_profile_settings_page",
+    ]
+    rng = random.Random(7)
+    planted = [base64.b64encode(rng.randbytes(size)).decode() for size in (15, 18, 24, 30) for _ in range(50)]
+    letters = string.ascii_letters + string.digits
+    planted += ["".join(rng.choice(letters) for _ in range(size)) for size in (20, 32) for _ in range(50)]
+    docs = spark.createDataFrame(prose(), "doc_id long, text string")
+    ratio = train_ratio(labelled_samples(docs))
+    texts = spark.createDataFrame(
+        [(i, f"see {t} here") for i, t in enumerate(ordinary + planted)], "doc_id long, text string"
+    )
+    found = {r["id"] for r in with_spans(texts, ratio).where("size(all_spans) > 0").selectExpr("row.doc_id id").collect()}
+    assert not [t for i, t in enumerate(ordinary) if i in found]
+    missed = [t for i, t in enumerate(planted) if i + len(ordinary) not in found]
+    assert len(missed) <= len(planted) // 50
+
+
+def test_many_matches_in_one_text(spark):
+    part = "é token=abcdef99 x "
+    for times in (255, 256, 257, 3_000):
+        docs = spark.createDataFrame([(1, part * times)], "doc_id long, text string")
+        spans = with_spans(docs, [0.0] * 128 * 128).selectExpr("all_spans s").first()["s"]
+        assert [(s["start"], s["end"]) for s in spans] == [
+            (i * len(part) + 2, i * len(part) + 16) for i in range(times)
+        ]
