@@ -77,3 +77,39 @@ LEFT JOIN paths ON paths.g = l.g AND paths.leaf = l.i)
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, {folded} AS folded_root,
   {folded} = root AS verified
 FROM found"""
+
+
+def warc_sql() -> str:
+    """Digests and revisits of all pages; five hexadecimal digits make four of base 32."""
+    digit = "((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1"
+    base32 = (
+        "array_to_string(list_transform(generate_series(0, 31), "
+        f"lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', {digit}, 1)), '')"
+    )
+    return f"""
+WITH k AS (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha1(coalesce(html, '')) AS h FROM pages),
+o AS (SELECT *, max(page_id) OVER (PARTITION BY h, bytes) AS owner FROM k)
+SELECT page_id, bytes AS payload_bytes, {base32} AS payload_digest,
+  CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM o"""
+
+
+def substrings_sql(window: int = 13) -> str:
+    """Words outside every window that also starts in a document with a smaller id."""
+    back = window - 1
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT rn, doc_id, pos, w[pos] AS word,
+    CASE WHEN pos + {back} <= len(w) THEN array_to_string(w[pos:pos + {back}], ' ') END AS passage
+  FROM (SELECT *, unnest(generate_series(1, len(w))) AS pos FROM d)),
+m AS (SELECT rn, pos, word,
+    passage IS NOT NULL AND min(doc_id) OVER (PARTITION BY passage) < doc_id AS repeats FROM p),
+r AS (SELECT rn, pos, word, bool_or(repeats) OVER (
+    PARTITION BY rn ORDER BY pos ROWS BETWEEN {back} PRECEDING AND CURRENT ROW) AS gone FROM m),
+s AS (SELECT rn, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM r GROUP BY rn)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (rn)"""

@@ -15,7 +15,7 @@ from murmur.llm.manifest import manifest
 from murmur.llm.mil_quality import score_passages
 from murmur.llm.mixing import mixed_documents
 from murmur.llm.near_dup import near_duplicates
-from murmur.llm.oracle import manifest_sql
+from murmur.llm.oracle import manifest_sql, substrings_sql, warc_sql
 from murmur.llm.quality import score_quality
 from murmur.llm.secrets import scan_secrets
 from murmur.llm.substrings import remove_repeats
@@ -95,4 +95,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op11_manifest": manifest_sql()}
+    return {
+        "op1_warc": warc_sql(),
+        "op4_substrings": substrings_sql(),
+        "op11_manifest": manifest_sql(),
+    }
