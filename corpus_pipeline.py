@@ -14,7 +14,12 @@ from murmur.llm.quality import keep_good
 from murmur.llm.secrets import redact_secrets
 
 
+#: Rows of one Arrow batch: whole texts stand in it several times, in the JVM and in Python.
+BATCH_ROWS = 2_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return keep_good(docs)
 
 

@@ -100,3 +100,19 @@ def test_kept_rows_keep_their_columns(spark):
 
 def test_empty_table(spark):
     assert score_quality(frame(spark, [])).count() == 0
+
+
+def test_word_counts_leave_a_task_before_they_fill_its_memory():
+    """Each piece holds few words, and all pieces together count every word."""
+    import pyarrow as pa
+
+    from murmur.llm.quality import _profile_rows
+
+    texts = [" ".join(f"w{n}q" for n in range(k, k + 110_000)) for k in (0, 50_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "en"]), pa.array(texts)], names=["lang", "text"])
+    pieces = list(_profile_rows(iter([batch])))
+    assert len(pieces) == 2
+    words = sum(
+        n for p in pieces for c, n in zip(p.column(1).to_pylist(), p.column(3).to_pylist()) if c == -1
+    )
+    assert words == sum(len(t.split()) for t in texts)
